@@ -37,6 +37,37 @@ for _name in ("report_province_city", "report_region", "report_app", "report_dev
     register(_name)(_report(_name))
 
 
+
+
+# ---------------------------------------------------------------- IP enrichment
+from .plans import ods as _ods  # noqa: E402
+from .sources.adlog import ad_log as _ad_log  # noqa: E402
+from .sources.dims import ip_ranges as _ip_ranges  # noqa: E402
+
+
+@register("ip_distinct")
+def ip_distinct(spark, sf_dir):
+    return _ods.distinct_ips(_ad_log(spark, sf_dir, ["ip"]))
+
+
+@register("ip_geo")
+def ip_geo(spark, sf_dir):
+    ips = _ods.distinct_ips(_ad_log(spark, sf_dir, ["ip"]))
+    return _ods.lookup_ips(ips, _ip_ranges(spark, sf_dir))
+
+
+@register("region_city_split")
+def region_city_split(spark, sf_dir):
+    from pyspark.sql import functions as F
+    ods = _ods.build_ods(spark, sf_dir, ["ip", "province", "city"])
+    return ods.groupBy("province", "city").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("ods_build")
+def ods_build(spark, sf_dir):
+    return _ods.build_ods(spark, sf_dir)
+
+
 def oracle() -> dict[str, str]:
     sql = oracle_sql.all_queries()
     return {k: v for k, v in sql.items() if k in QUERIES}

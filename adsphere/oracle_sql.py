@@ -72,7 +72,64 @@ def report_queries() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------- IP enrichment
+IP_RANGES_CTE = """ip_ranges AS (
+ SELECT CAST(16 + n_nationkey AS BIGINT) * 16777216 + b.lo AS start_ip,
+        CAST(16 + n_nationkey AS BIGINT) * 16777216 + b.hi AS end_ip,
+        CASE WHEN b.j < 3 THEN 'P' || n_nationkey || '省C' || n_nationkey || '_' || b.j
+             ELSE 'M' || n_nationkey END AS country,
+        CASE WHEN b.j = 2 THEN ' CZ88.NET' ELSE 'ISP' || b.j END AS area
+ FROM nation, (VALUES (0, 0, 255), (1, 256, 1023), (2, 1100, 4095), (3, 4096, 16777215)) b(j, lo, hi)
+ WHERE n_nationkey <> 24)"""
+
+
+def ip_num_sql(ip: str = "ip") -> str:
+    octs = [f"TRY_CAST(split_part({ip}, '.', {i}) AS BIGINT)" for i in range(1, 5)]
+    valid = " AND ".join([f"regexp_full_match({ip}, '[0-9]{{1,3}}\\.[0-9]{{1,3}}\\.[0-9]{{1,3}}\\.[0-9]{{1,3}}')"]
+                         + [f"{o} <= 255" for o in octs])
+    return (f"CASE WHEN {valid} THEN {octs[0]} * 16777216 + {octs[1]} * 65536 + "
+            f"{octs[2]} * 256 + {octs[3]} END")
+
+
+def province_sql(c: str) -> str:
+    t = f"regexp_replace(coalesce({c}, ''), '省+$', '')"
+    return f"CASE WHEN strpos({t}, '省') > 0 THEN substr({t}, 1, strpos({t}, '省')) ELSE coalesce({c}, '') END"
+
+
+def city_sql(c: str) -> str:
+    t = f"regexp_replace(coalesce({c}, ''), '省+$', '')"
+    rest = f"substr({t}, strpos({t}, '省') + 1)"
+    return (f"CASE WHEN strpos({t}, '省') > 0 THEN CASE WHEN strpos({rest}, '省') > 0 "
+            f"THEN substr({rest}, 1, strpos({rest}, '省') - 1) ELSE {rest} END ELSE coalesce({c}, '') END")
+
+
+def _ods_cte() -> str:
+    cols = [c for c in AD_LOG_EXPRESSIONS if c not in ("province", "city", "ip")]
+    country = "coalesce(r.country, '未知国家')"
+    return (f"ods AS (SELECT l.ip, {', '.join('l.' + c for c in cols)},\n"
+            f"  CASE WHEN l.ip IS NOT NULL AND l.ip <> '' THEN {province_sql(country)} END AS province,\n"
+            f"  CASE WHEN l.ip IS NOT NULL AND l.ip <> '' THEN {city_sql(country)} END AS city\n"
+            f" FROM ad_log l LEFT JOIN ip_ranges r ON {ip_num_sql('l.ip')} BETWEEN r.start_ip AND r.end_ip)")
+
+
+def ip_queries() -> dict[str, str]:
+    base = f"WITH {ad_log_cte()}, {IP_RANGES_CTE}"
+    geo = (f"{base}, ips AS (SELECT DISTINCT ip FROM ad_log WHERE ip IS NOT NULL AND ip <> ''),\n"
+           f" g AS (SELECT ip, {ip_num_sql('ip')} AS ip_num, coalesce(r.country, '未知国家') AS country,\n"
+           f"   coalesce(CASE WHEN trim(r.area) = 'CZ88.NET' THEN '本机或本网络' ELSE r.area END, '未知地区') AS area\n"
+           f"  FROM ips LEFT JOIN ip_ranges r ON {ip_num_sql('ip')} BETWEEN r.start_ip AND r.end_ip)\n")
+    return {
+        "ip_distinct": f"WITH {ad_log_cte()} SELECT DISTINCT ip FROM ad_log WHERE ip IS NOT NULL AND ip <> ''",
+        "ip_geo": geo + f"SELECT ip, ip_num, country, area, {province_sql('country')} AS province, "
+                        f"{city_sql('country')} AS city FROM g",
+        "region_city_split": (f"{base}, {_ods_cte()}\n SELECT province, city, count(*) AS n_rows "
+                              "FROM ods GROUP BY province, city"),
+        "ods_build": f"{base}, {_ods_cte()}\n SELECT * FROM ods",
+    }
+
+
 def all_queries() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(report_queries())
+    out.update(ip_queries())
     return out
