@@ -68,6 +68,61 @@ def ods_build(spark, sf_dir):
     return _ods.build_ods(spark, sf_dir)
 
 
+# ---------------------------------------------------------------- business areas
+from pyspark.sql import functions as F  # noqa: E402
+
+from .functions.geo import geohash8 as _geohash8  # noqa: E402
+from .plans import business_area as _ba  # noqa: E402
+from .sources.dims import geocode_responses as _geocode  # noqa: E402
+
+_COORDS = ["longitude", "latitude"]
+
+
+def _as_double(df):
+    return df.withColumn("latitude", F.col("latitude").cast("double")).withColumn(
+        "longitude", F.col("longitude").cast("double"))
+
+
+def _coord_areas(spark, sf_dir):
+    coords = _ba.distinct_coordinates(_ad_log(spark, sf_dir, _COORDS))
+    return _ba.coordinate_areas(coords, _geocode(spark, sf_dir))
+
+
+@register("coords_distinct")
+def coords_distinct(spark, sf_dir):
+    return _as_double(_ba.distinct_coordinates(_ad_log(spark, sf_dir, _COORDS)))
+
+
+@register("geohash8")
+def geohash8_query(spark, sf_dir):
+    coords = _ba.has_coordinates(_ad_log(spark, sf_dir, _COORDS)).select("latitude", "longitude").distinct()
+    return _as_double(coords.withColumn("geohash", _geohash8(F.col("latitude"), F.col("longitude"))))
+
+
+@register("area_json")
+def area_json(spark, sf_dir):
+    return _as_double(_coord_areas(spark, sf_dir).select("latitude", "longitude", "areas"))
+
+
+@register("area_library")
+def area_library(spark, sf_dir):
+    return _ba.area_library(_coord_areas(spark, sf_dir))
+
+
+@register("ods_with_areas")
+def ods_with_areas(spark, sf_dir):
+    ods = _ad_log(spark, sf_dir, ["ip", "mac", "androidid", "requestmode", *_COORDS])
+    lib = _ba.area_library(_coord_areas(spark, sf_dir))
+    return _ba.with_areas(ods, lib).select("ip", "mac", "androidid", "requestmode", "geohash", "areas")
+
+
+@register("area_lookup")
+def area_lookup(spark, sf_dir):
+    cells = (_ba.has_coordinates(_ad_log(spark, sf_dir, _COORDS))
+             .select(_geohash8(F.col("latitude"), F.col("longitude")).alias("geohash")).distinct())
+    return _ba.lookup_areas(cells, _ba.area_library(_coord_areas(spark, sf_dir)))
+
+
 def oracle() -> dict[str, str]:
     sql = oracle_sql.all_queries()
     return {k: v for k, v in sql.items() if k in QUERIES}

@@ -128,8 +128,78 @@ def ip_queries() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------- business areas
+_B32 = "0123456789bcdefghjkmnpqrstuvwxyz"
+
+
+def geohash_sql(lat: str, lon: str) -> str:
+    x = f"least(greatest(CAST(floor((CAST({lon} AS DOUBLE) + 180.0e0) / 360.0e0 * 1048576.0e0) AS BIGINT), 0), 1048575)"
+    y = f"least(greatest(CAST(floor((CAST({lat} AS DOUBLE) + 90.0e0) / 180.0e0 * 1048576.0e0) AS BIGINT), 0), 1048575)"
+    terms = []
+    for i in range(20):
+        terms.append(f"((((({x}) >> {i}) & 1)) << {2 * i + 1})")
+        terms.append(f"((((({y}) >> {i}) & 1)) << {2 * i})")
+    code = "(" + " | ".join(terms) + ")"
+    chars = [f"substr('{_B32}', CAST((({code} >> {35 - 5 * k})) & 31 AS INTEGER) + 1, 1)" for k in range(8)]
+    return "(" + " || ".join(chars) + ")"
+
+
+GEOCODE_CTE = """geo_first AS (
+ SELECT CAST(-180 + (c_custkey*7919%36000)/100.0e0 AS FLOAT) AS longitude,
+        CAST(-90 + (c_custkey*104729%18000)/100.0e0 AS FLOAT) AS latitude, min(c_custkey) AS c
+ FROM customer GROUP BY 1, 2),
+geocode AS (
+ SELECT longitude, latitude,
+   CASE WHEN c % 4 = 1 THEN 'oops'
+        WHEN c % 4 = 0 THEN '{"status":"1","regeocode":{"addressComponent":{"businessAreas":[[]]}}}'
+        ELSE '{"status":"1","regeocode":{"addressComponent":{"businessAreas":[{"name":"BA' || (c % 20)
+             || '","id":"' || c || '"},{"name":"BA' || (c % 7) || '","id":"' || c || '"}]}}}' END AS response
+ FROM geo_first)"""
+
+COORD_AREAS_CTE = """coords AS (SELECT DISTINCT latitude, longitude FROM ad_log
+   WHERE longitude IS NOT NULL AND latitude IS NOT NULL),
+coord_names AS (
+ SELECT c.latitude, c.longitude,
+   list_filter(CASE WHEN json_valid(g.response)
+        THEN json_extract_string(g.response, '$.regeocode.addressComponent.businessAreas[*].name') END,
+        lambda x: x IS NOT NULL) AS names
+ FROM coords c LEFT JOIN geocode g ON c.longitude = g.longitude AND c.latitude = g.latitude),
+coord_areas AS (
+ SELECT latitude, longitude, GEOHASH AS geohash, coalesce(array_to_string(names, ','), '') AS areas, names
+ FROM coord_names),
+library AS (
+ SELECT geohash, string_agg(name, ',' ORDER BY name) AS areas FROM (
+   SELECT DISTINCT geohash, unnest(names) AS name FROM coord_areas WHERE areas <> '') t
+ GROUP BY geohash)"""
+
+
+def area_queries() -> dict[str, str]:
+    cte = COORD_AREAS_CTE.replace("GEOHASH", geohash_sql("latitude", "longitude"))
+    base = f"WITH {ad_log_cte()}, {GEOCODE_CTE}, {cte}"
+    return {
+        "coords_distinct": (f"WITH {ad_log_cte()} SELECT DISTINCT CAST(latitude AS DOUBLE) AS latitude, "
+                            "CAST(longitude AS DOUBLE) AS longitude, "
+                            "CAST(longitude AS VARCHAR) || ',' || CAST(latitude AS VARCHAR) AS location "
+                            "FROM ad_log WHERE longitude IS NOT NULL AND latitude IS NOT NULL"),
+        "geohash8": (f"WITH {ad_log_cte()} SELECT DISTINCT CAST(latitude AS DOUBLE) AS latitude, "
+                     f"CAST(longitude AS DOUBLE) AS longitude, {geohash_sql('latitude', 'longitude')} AS geohash "
+                     "FROM ad_log WHERE longitude IS NOT NULL AND latitude IS NOT NULL"),
+        "area_json": (f"{base} SELECT CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, "
+                      "areas FROM coord_areas"),
+        "area_library": f"{base} SELECT geohash, areas FROM library",
+        "ods_with_areas": (f"{base} SELECT a.ip, a.mac, a.androidid, a.requestmode, "
+                           f"{geohash_sql('a.latitude', 'a.longitude')} AS geohash, b.areas "
+                           f"FROM ad_log a LEFT JOIN library b ON {geohash_sql('a.latitude', 'a.longitude')} = b.geohash"),
+        "area_lookup": (f"{base}, cells AS (SELECT DISTINCT {geohash_sql('latitude', 'longitude')} AS geohash "
+                        "FROM ad_log WHERE longitude IS NOT NULL AND latitude IS NOT NULL) "
+                        "SELECT c.geohash, coalesce(b.areas, '') AS areas FROM cells c "
+                        "LEFT JOIN library b ON c.geohash = b.geohash"),
+    }
+
+
 def all_queries() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(report_queries())
     out.update(ip_queries())
+    out.update(area_queries())
     return out
