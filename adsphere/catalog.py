@@ -123,6 +123,113 @@ def area_lookup(spark, sf_dir):
     return _ba.lookup_areas(cells, _ba.area_library(_coord_areas(spark, sf_dir)))
 
 
+# ---------------------------------------------------------------- tags and identity
+from .functions.tags import ID_COLUMNS as _IDC, any_identifier as _p3, main_id as _main_id, \
+    user_ids as _user_ids  # noqa: E402
+from .operators import tag_agg as _ta  # noqa: E402
+from .operators.components import connected_components as _cc  # noqa: E402
+from .plans import tagging as _tg  # noqa: E402
+from .sources.adlog import HISTORY_DS as _HDS, TODAY_DS as _TDS  # noqa: E402
+from .sources.dims import app_dictionary as _app_dict  # noqa: E402
+
+
+def _id_records(spark, sf_dir):
+    recs = (_ad_log(spark, sf_dir, list(_IDC)).where(_p3()).select(_user_ids().alias("ids"))
+            .where(F.size("ids") > 0).withColumn("main_id", _main_id(F.col("ids"))))
+    return recs
+
+
+def _all_components(recs):
+    comps = _cc(_ta.identity_edges(recs))
+    nodes = recs.select(F.explode("ids").alias("id")).distinct()
+    return (nodes.join(comps, "id", "left")
+            .select("id", F.coalesce(F.col("component"), F.col("id")).alias("component")))
+
+
+@register("identified_rows")
+def identified_rows(spark, sf_dir):
+    return _ad_log(spark, sf_dir, list(_IDC)).where(_p3())
+
+
+@register("identity_ids")
+def identity_ids(spark, sf_dir):
+    recs = _id_records(spark, sf_dir)
+    return recs.select("main_id", F.array_join("ids", ",").alias("ids"), F.size("ids").alias("n_ids"))
+
+
+@register("identity_edges")
+def identity_edges(spark, sf_dir):
+    return _ta.identity_edges(_id_records(spark, sf_dir))
+
+
+@register("identity_components")
+def identity_components(spark, sf_dir):
+    return _all_components(_id_records(spark, sf_dir))
+
+
+@register("identity_records")
+def identity_records(spark, sf_dir):
+    recs = _id_records(spark, sf_dir)
+    comps = _cc(_ta.identity_edges(recs))
+    return (_ta.assign_person(recs, comps).groupBy("person", "main_id")
+            .agg(F.count(F.lit(1)).alias("n_records")))
+
+
+@register("component_members")
+def component_members(spark, sf_dir):
+    return _ta.component_members(_all_components(_id_records(spark, sf_dir)))
+
+
+@register("tag_record")
+def tag_record(spark, sf_dir):
+    recs = _tg.records_for(spark, sf_dir)
+    return (recs.select("main_id", F.explode("tags").alias("tag")).groupBy("main_id", "tag")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def _family_vocabulary(families):
+    def run(spark, sf_dir):
+        recs = _tg.tagged_records(_tg.tag_inputs(spark, sf_dir), families)
+        return recs.select(F.explode("tags").alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+    return run
+
+
+for _name, _fams in {"tag_app": ["app"], "tag_device": ["device"], "tag_region": ["region"],
+                     "tag_simple": ["adtype", "channel", "age", "sex"], "tag_keyword": ["keyword"],
+                     "tag_area": ["area"]}.items():
+    register(_name)(_family_vocabulary(_fams))
+
+
+@register("tag_agg")
+def tag_agg(spark, sf_dir):
+    tags, _ = _tg.today_profile(spark, sf_dir)
+    return _ta.rounded(tags)
+
+
+@register("history_tags")
+def history_tags(spark, sf_dir):
+    tags, _ = _tg.history_profile(spark, sf_dir)
+    return _ta.rounded(tags)
+
+
+@register("tag_decay")
+def tag_decay(spark, sf_dir):
+    tags, _ = _tg.history_profile(spark, sf_dir)
+    return _ta.rounded(_ta.decay(tags))
+
+
+@register("tag_merge")
+def tag_merge(spark, sf_dir):
+    tags, _ = _tg.merged_profile(spark, sf_dir)
+    return _ta.rounded(tags)
+
+
+@register("dict_lookup")
+def dict_lookup(spark, sf_dir):
+    apps = _ad_log(spark, sf_dir, ["appid"]).select("appid").distinct()
+    return _tg.lookup(apps, F.col("appid"), _app_dict(spark, sf_dir), "name")
+
+
 def oracle() -> dict[str, str]:
     sql = oracle_sql.all_queries()
     return {k: v for k, v in sql.items() if k in QUERIES}

@@ -9,7 +9,7 @@ re-expressed here in SQL.
 
 from __future__ import annotations
 
-from .sources.adlog import AD_LOG_EXPRESSIONS, DS_EXPRESSION
+from .sources.adlog import AD_LOG_EXPRESSIONS, DS_EXPRESSION, HISTORY_DS, TODAY_DS
 
 
 def ad_log_cte(name: str = "ad_log") -> str:
@@ -197,9 +197,124 @@ def area_queries() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------- tags and identity
+DICT_CTE = """app_dict AS (SELECT DISTINCT 'XRX' || (p_partkey % 50) AS appid, 'App ' || (p_partkey % 50) AS name
+  FROM part WHERE (p_partkey % 50) % 10 <> 0),
+device_dict AS (SELECT * FROM (VALUES ('1', 'D00010001'), ('2', 'D00010002'), ('3', 'D00010003'),
+  ('4', 'D00010004'), ('WIFI', 'D00020001'), ('4G', 'D00020002'), ('3G', 'D00020003'), ('2G', 'D00020004'),
+  ('NETWORKOTHER', 'D00020005'), ('移动', 'D00030001'), ('联通', 'D00030002'), ('电信', 'D00030003'),
+  ('OPERATOROTHER', 'D00030004')) v(k, code))"""
+
+_IDS = ("imei", "mac", "idfa", "openudid", "androidid")
+IDS_SQL = "list_filter([imei, mac, idfa, openudid, androidid], lambda x: x IS NOT NULL AND regexp_matches(x, '\\S'))"
+P3_SQL = " OR ".join(f"({c} IS NOT NULL AND {c} <> '')" for c in _IDS)
+
+
+def _jsplit_tags(col: str, prefix: str) -> str:
+    t = f"regexp_replace({col}, ',+$', '')"
+    return (f"CASE WHEN {col} = '' THEN ['{prefix}'] WHEN {t} = '' THEN CAST([] AS VARCHAR[]) "
+            f"ELSE list_transform(string_split({t}, ','), lambda k: '{prefix}' || k) END")
+
+
+FAMILY_SQL = {
+    "app": "['APP_' || coalesce(appname, app_dict_name, 'null')]",
+    "device": ("['CB_' || client_code, 'ISP_' || operator_code, 'NM_' || network_code, "
+               "'DT_' || coalesce(devicetype, 0), 'DEVICE_' || coalesce(device, 'null')]"),
+    "region": "['PN_' || coalesce(province, 'null'), 'CTN_' || coalesce(city, 'null')]",
+    "adtype": "['AT_' || coalesce(adspacetypename, 'null')]",
+    "keyword": f"CASE WHEN keywords IS NULL THEN CAST([] AS VARCHAR[]) ELSE {_jsplit_tags('keywords', 'KW_')} END",
+    "channel": "['CN_' || coalesce(channelid, 'null')]",
+    "age": "['AGE_' || coalesce(age, 'null')]",
+    "sex": "['SEX_' || coalesce(sex, 'null')]",
+    "area": (f"CASE WHEN regexp_matches(coalesce(areas, ''), '\\S') THEN {_jsplit_tags('areas', 'BA_')} "
+             "ELSE CAST([] AS VARCHAR[]) END"),
+}
+
+
+def _ods_ds_cte() -> str:
+    return _ods_cte().replace("ods AS (SELECT l.ip,", f"ods AS (SELECT {DS_EXPRESSION.replace('event_ts', 'l.event_ts')} AS ds, l.ip,")
+
+
+def tag_base(families=None) -> str:
+    fams = list(families) if families else list(FAMILY_SQL)
+    cte = COORD_AREAS_CTE.replace("GEOHASH", geohash_sql("latitude", "longitude"))
+    tags = "list_distinct(list_concat(" + ", ".join(FAMILY_SQL[f] for f in fams) + "))"
+    return (f"WITH {ad_log_cte()}, {IP_RANGES_CTE}, {_ods_ds_cte()}, {GEOCODE_CTE}, {cte}, {DICT_CTE},\n"
+            f"inp AS (SELECT o.*, lib.areas, ad.name AS app_dict_name,\n"
+            f"   coalesce(dc.code, 'D00010004') AS client_code, coalesce(di.code, 'D00030004') AS operator_code,\n"
+            f"   coalesce(dn.code, 'D00020005') AS network_code\n"
+            f" FROM ods o LEFT JOIN library lib ON {geohash_sql('o.latitude', 'o.longitude')} = lib.geohash\n"
+            f" LEFT JOIN app_dict ad ON o.appid = ad.appid\n"
+            f" LEFT JOIN device_dict dc ON CAST(coalesce(o.client, 0) AS VARCHAR) = dc.k\n"
+            f" LEFT JOIN device_dict di ON o.ispname = di.k\n"
+            f" LEFT JOIN device_dict dn ON o.networkmannername = dn.k\n"
+            f" WHERE {P3_SQL}),\n"
+            f"recs AS (SELECT ds, ids, ids[1] AS main_id, tags FROM (\n"
+            f"   SELECT ds, {IDS_SQL} AS ids, {tags} AS tags FROM inp) t WHERE len(ids) > 0)")
+
+
+def components_cte(recs: str, name: str = "comp") -> str:
+    """Connected components by reachability (recursive UNION terminates on cycles)."""
+    return (f"{name}_e AS (SELECT DISTINCT main_id AS a, unnest(ids) AS b FROM {recs}),\n"
+            f"{name}_u AS (SELECT a, b FROM {name}_e UNION SELECT b, a FROM {name}_e),\n"
+            f"{name}_r(node, lbl) AS (SELECT a, a FROM {name}_u UNION "
+            f"SELECT u.b, r.lbl FROM {name}_r r JOIN {name}_u u ON r.node = u.a),\n"
+            f"{name} AS (SELECT node AS id, min(lbl) AS component FROM {name}_r GROUP BY node)")
+
+
+def _person_tags(recs: str, comp: str, weight: str = "1.0") -> str:
+    return (f"SELECT coalesce(c.component, r.main_id) AS person, unnest(r.tags) AS tag FROM {recs} r "
+            f"LEFT JOIN {comp} c ON r.main_id = c.id")
+
+
+def identity_base() -> str:
+    return (f"WITH {ad_log_cte()},\n"
+            f"recs AS (SELECT ids, ids[1] AS main_id FROM (SELECT {IDS_SQL} AS ids FROM ad_log WHERE {P3_SQL}) t "
+            "WHERE len(ids) > 0)")
+
+
+def tag_queries() -> dict[str, str]:
+    ib = identity_base()
+    today = f"(SELECT * FROM recs WHERE ds = '{TODAY_DS}')"
+    hist = f"(SELECT * FROM recs WHERE ds = '{HISTORY_DS}')"
+    out = {
+        "identified_rows": f"WITH {ad_log_cte()} SELECT imei, mac, idfa, openudid, androidid FROM ad_log WHERE {P3_SQL}",
+        "identity_ids": f"{ib} SELECT main_id, array_to_string(ids, ',') AS ids, len(ids) AS n_ids FROM recs",
+        "identity_edges": f"{ib} SELECT DISTINCT main_id AS src, unnest(ids) AS dst FROM recs EXCEPT SELECT id, id FROM (SELECT unnest(ids) AS id FROM recs)",
+        "identity_components": (f"{ib}, {components_cte('recs')},\n nodes AS (SELECT DISTINCT unnest(ids) AS id FROM recs)\n"
+                                "SELECT n.id, coalesce(c.component, n.id) AS component FROM nodes n LEFT JOIN comp c ON n.id = c.id"),
+        "identity_records": (f"{ib}, {components_cte('recs')}\n SELECT coalesce(c.component, r.main_id) AS person, r.main_id, "
+                             "count(*) AS n_records FROM recs r LEFT JOIN comp c ON r.main_id = c.id GROUP BY ALL"),
+        "component_members": (f"{ib}, {components_cte('recs')},\n nodes AS (SELECT DISTINCT unnest(ids) AS id FROM recs),\n"
+                              " m AS (SELECT coalesce(c.component, n.id) AS component, n.id AS member FROM nodes n LEFT JOIN comp c ON n.id = c.id)\n"
+                              "SELECT component, member, count(*) OVER (PARTITION BY component) AS n_members FROM m"),
+        "tag_record": (f"{tag_base()} SELECT main_id, tag, count(*) AS n FROM (SELECT main_id, unnest(tags) AS tag FROM recs) t GROUP BY ALL"),
+        "tag_agg": (f"{tag_base()}, t AS {today}, {components_cte('t')}\n"
+                    f"SELECT person, tag, round(count(*) * 1.0e0, 6) AS weight FROM ({_person_tags('t', 'comp')}) x GROUP BY ALL"),
+        "history_tags": (f"{tag_base()}, h AS {hist}, {components_cte('h')}\n"
+                         f"SELECT person, tag, round(count(*) * 1.0e0, 6) AS weight FROM ({_person_tags('h', 'comp')}) x GROUP BY ALL"),
+        "tag_decay": (f"{tag_base()}, h AS {hist}, {components_cte('h')}\n"
+                      f"SELECT person, tag, round(count(*) * 0.9e0, 6) AS weight FROM ({_person_tags('h', 'comp')}) x GROUP BY ALL"),
+        "tag_merge": (f"{tag_base()}, {components_cte('recs')}\n"
+                      "SELECT person, tag, round(count(*) FILTER (WHERE ds = '" + TODAY_DS + "') * 1.0e0 + "
+                      "0.9e0 * count(*) FILTER (WHERE ds = '" + HISTORY_DS + "'), 6) AS weight FROM ("
+                      "SELECT r.ds, coalesce(c.component, r.main_id) AS person, unnest(r.tags) AS tag FROM recs r "
+                      "LEFT JOIN comp c ON r.main_id = c.id) x GROUP BY person, tag"),
+        "dict_lookup": (f"WITH {ad_log_cte()}, {DICT_CTE} SELECT DISTINCT l.appid, d.name FROM ad_log l "
+                        "LEFT JOIN app_dict d ON l.appid = d.appid"),
+    }
+    fams = {"tag_app": ["app"], "tag_device": ["device"], "tag_region": ["region"],
+            "tag_simple": ["adtype", "channel", "age", "sex"], "tag_keyword": ["keyword"], "tag_area": ["area"]}
+    for name, f in fams.items():
+        out[name] = (f"{tag_base(f)} SELECT tag, count(*) AS n FROM (SELECT unnest(tags) AS tag FROM recs) t GROUP BY tag")
+    return out
+
+
 def all_queries() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(report_queries())
     out.update(ip_queries())
     out.update(area_queries())
-    return out
+    out.update(tag_queries())
+    return {k: (v.replace("WITH ", "WITH RECURSIVE ", 1) if "_r(node, lbl)" in v else v)
+            for k, v in out.items()}
