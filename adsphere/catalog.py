@@ -230,6 +230,47 @@ def dict_lookup(spark, sf_dir):
     return _tg.lookup(apps, F.col("appid"), _app_dict(spark, sf_dir), "name")
 
 
+# ---------------------------------------------------------------- profile export and snapshots
+from .functions.codec import encode_pairs as _encode  # noqa: E402
+from .plans import profile as _pf  # noqa: E402
+from .sources import snapshots as _snap  # noqa: E402
+
+
+def _merged_rounded(spark, sf_dir):
+    tags, _ = _tg.merged_profile(spark, sf_dir)
+    return _ta.rounded(tags)
+
+
+@register("tag_codec")
+def tag_codec(spark, sf_dir):
+    tags = _merged_rounded(spark, sf_dir)
+    return tags.groupBy("person").agg(
+        _encode(F.collect_list(F.struct("tag", "weight"))).alias("tags"),
+        F.count(F.lit(1)).alias("n_tags"))
+
+
+@register("profile_classify")
+def profile_classify(spark, sf_dir):
+    return _pf.classify_tags(_merged_rounded(spark, sf_dir))
+
+
+@register("profile_docs")
+def profile_docs(spark, sf_dir):
+    fields = _pf.profile_fields(_pf.classify_tags(_merged_rounded(spark, sf_dir)))
+    return _pf.field_summary(fields)
+
+
+@register("snapshot_read")
+def snapshot_read(spark, sf_dir):
+    ods = _ods.build_ods(spark, sf_dir, ["ip", "appid", "requestmode", "province", "city"], with_ds=True)
+    return ods.where(F.col("ds") == _TDS).select("ip", "appid", "requestmode", "province", "city", "ds")
+
+
+@register("sink_key_check")
+def sink_key_check(spark, sf_dir):
+    return _snap.duplicate_keys(_ods.build_ods(spark, sf_dir, ["ip"]), ["ip"])
+
+
 def oracle() -> dict[str, str]:
     sql = oracle_sql.all_queries()
     return {k: v for k, v in sql.items() if k in QUERIES}

@@ -273,6 +273,71 @@ def identity_base() -> str:
             "WHERE len(ids) > 0)")
 
 
+def merged_base() -> str:
+    return (f"{tag_base()}, {components_cte('recs')},\n"
+            "merged AS (SELECT person, tag, round(count(*) FILTER (WHERE ds = '" + TODAY_DS + "') * 1.0e0 + "
+            "0.9e0 * count(*) FILTER (WHERE ds = '" + HISTORY_DS + "'), 6) AS weight FROM ("
+            "SELECT r.ds, coalesce(c.component, r.main_id) AS person, unnest(r.tags) AS tag FROM recs r "
+            "LEFT JOIN comp c ON r.main_id = c.id) x GROUP BY person, tag)")
+
+
+_CLASSIFY = [("AT_", "adType"), ("AGE_", "age"), ("APP_", "app"), ("BA_", "businessArea"), ("CN_", "channel")]
+_CODES = [("CB_", "D0001000", "client", ["android", "ios", "wp", "other"]),
+          ("NM_", "D0002000", "network", ["WIFI", "4G", "3G", "2G", "NETWORKOTHER"]),
+          ("ISP_", "D0003000", "operator", ["移动", "联通", "电信", "OPERATOROTHER"])]
+_CLASSIFY_LAST = [("DT_", "deviceType"), ("DEVICE_", "deviceModel"), ("KW_", "keyword"),
+                  ("PN_", "province"), ("CTN_", "city"), ("SEX_", "sex")]
+
+
+def classify_sql() -> str:
+    field, value = [], []
+    for p, f in _CLASSIFY:
+        field.append(f"WHEN starts_with(tag, '{p}') THEN '{f}'")
+        value.append(f"WHEN starts_with(tag, '{p}') THEN substr(tag, {len(p) + 1})")
+    for p, code, f, names in _CODES:
+        for k, v in enumerate(names, start=1):
+            cond = f"starts_with(tag, '{p}') AND contains(tag, '{code}{k}')"
+            field.append(f"WHEN {cond} THEN '{f}'")
+            value.append(f"WHEN {cond} THEN '{v}'")
+    for p, f in _CLASSIFY_LAST:
+        field.append(f"WHEN starts_with(tag, '{p}') THEN '{f}'")
+        value.append(f"WHEN starts_with(tag, '{p}') THEN substr(tag, {len(p) + 1})")
+    return (f"classified AS (SELECT person, CASE {' '.join(field)} END AS field, "
+            f"CASE {' '.join(value)} END AS value, weight FROM merged)")
+
+
+_FIELDS = ("app", "deviceModel", "deviceType", "client", "sex", "age", "businessArea",
+           "operator", "keyword", "adType", "city", "province", "network", "channel")
+
+
+def profile_queries() -> dict[str, str]:
+    mb = merged_base()
+    fields = ", ".join(f"('{f}')" for f in _FIELDS)
+    return {
+        "tag_codec": (f"{mb} SELECT person, string_agg('(' || tag || ',' || CAST(weight AS VARCHAR) || ')', ',' "
+                      "ORDER BY tag) AS tags, count(*) AS n_tags FROM merged GROUP BY person"),
+        "profile_classify": (f"{mb}, {classify_sql()} SELECT person, field, value, weight FROM classified "
+                             "WHERE field IS NOT NULL"),
+        "profile_docs": (f"{mb}, {classify_sql()},\n"
+                         "per_field AS (SELECT person, field, count(*) AS n_values, string_agg('(' || value || ',' "
+                         "|| CAST(weight AS VARCHAR) || ')', ',' ORDER BY value, weight) AS vals "
+                         "FROM classified WHERE field IS NOT NULL GROUP BY person, field),\n"
+                         f"people AS (SELECT DISTINCT person FROM classified WHERE field IS NOT NULL)\n"
+                         f"SELECT p.person, f.field, coalesce(x.n_values, 0) AS n_values, coalesce(x.vals, '') AS \"values\" "
+                         f"FROM people p CROSS JOIN (VALUES {fields}) f(field) "
+                         "LEFT JOIN per_field x ON x.person = p.person AND x.field = f.field"),
+    }
+
+
+def snapshot_queries() -> dict[str, str]:
+    base = f"WITH {ad_log_cte()}, {IP_RANGES_CTE}, {_ods_ds_cte()}"
+    return {
+        "snapshot_read": (f"{base} SELECT ip, appid, requestmode, province, city, ds FROM ods "
+                          f"WHERE ds = '{TODAY_DS}'"),
+        "sink_key_check": f"{base} SELECT ip, count(*) AS n FROM ods GROUP BY ip HAVING count(*) > 1",
+    }
+
+
 def tag_queries() -> dict[str, str]:
     ib = identity_base()
     today = f"(SELECT * FROM recs WHERE ds = '{TODAY_DS}')"
@@ -295,11 +360,7 @@ def tag_queries() -> dict[str, str]:
                          f"SELECT person, tag, round(count(*) * 1.0e0, 6) AS weight FROM ({_person_tags('h', 'comp')}) x GROUP BY ALL"),
         "tag_decay": (f"{tag_base()}, h AS {hist}, {components_cte('h')}\n"
                       f"SELECT person, tag, round(count(*) * 0.9e0, 6) AS weight FROM ({_person_tags('h', 'comp')}) x GROUP BY ALL"),
-        "tag_merge": (f"{tag_base()}, {components_cte('recs')}\n"
-                      "SELECT person, tag, round(count(*) FILTER (WHERE ds = '" + TODAY_DS + "') * 1.0e0 + "
-                      "0.9e0 * count(*) FILTER (WHERE ds = '" + HISTORY_DS + "'), 6) AS weight FROM ("
-                      "SELECT r.ds, coalesce(c.component, r.main_id) AS person, unnest(r.tags) AS tag FROM recs r "
-                      "LEFT JOIN comp c ON r.main_id = c.id) x GROUP BY person, tag"),
+        "tag_merge": f"{merged_base()} SELECT person, tag, weight FROM merged",
         "dict_lookup": (f"WITH {ad_log_cte()}, {DICT_CTE} SELECT DISTINCT l.appid, d.name FROM ad_log l "
                         "LEFT JOIN app_dict d ON l.appid = d.appid"),
     }
@@ -316,5 +377,7 @@ def all_queries() -> dict[str, str]:
     out.update(ip_queries())
     out.update(area_queries())
     out.update(tag_queries())
+    out.update(profile_queries())
+    out.update(snapshot_queries())
     return {k: (v.replace("WITH ", "WITH RECURSIVE ", 1) if "_r(node, lbl)" in v else v)
             for k, v in out.items()}
