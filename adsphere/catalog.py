@@ -271,6 +271,60 @@ def sink_key_check(spark, sf_dir):
     return _snap.duplicate_keys(_ods.build_ods(spark, sf_dir, ["ip"]), ["ip"])
 
 
+# ---------------------------------------------------------------- skew toolkit
+from .operators import skew as _sk  # noqa: E402
+from .sources.tables import read_table as _read  # noqa: E402
+
+HOT_ORDER_COUNT = 15  # a customer with this many orders is a hot key (FIXTURES §3.3)
+SALT_BUCKETS = 10
+
+
+def _orders(spark, sf_dir):
+    return _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+
+
+def _customers(spark, sf_dir):
+    return _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey")
+
+
+@register("skew_hot_keys")
+def skew_hot_keys(spark, sf_dir):
+    return _sk.hot_keys(_orders(spark, sf_dir), "o_custkey", min_count=HOT_ORDER_COUNT)
+
+
+@register("skew_filter_join")
+def skew_filter_join(spark, sf_dir):
+    recs = _id_records(spark, sf_dir)
+    comps = _all_components(recs)
+    log = _ad_log(spark, sf_dir, ["androidid", "mac"])
+    out = _sk.filter_null_keys_join(log, comps, "androidid", "id", preserve=True)
+    return out.select("androidid", "mac", "component")
+
+
+@register("skew_broadcast_join")
+def skew_broadcast_join(spark, sf_dir):
+    return _sk.broadcast_join(_orders(spark, sf_dir), _customers(spark, sf_dir), "o_custkey")
+
+
+@register("skew_two_phase_count")
+def skew_two_phase_count(spark, sf_dir):
+    return _sk.two_phase_count(_orders(spark, sf_dir), "o_custkey", ["o_orderkey"], SALT_BUCKETS)
+
+
+@register("skew_isolate_join")
+def skew_isolate_join(spark, sf_dir):
+    orders = _orders(spark, sf_dir)
+    hot = _sk.hot_keys(orders, "o_custkey", min_count=HOT_ORDER_COUNT)
+    return _sk.isolate_hot_keys_join(orders, _customers(spark, sf_dir), "o_custkey", hot,
+                                     ["o_orderkey"], SALT_BUCKETS)
+
+
+@register("skew_expand_join")
+def skew_expand_join(spark, sf_dir):
+    return _sk.expand_join(_orders(spark, sf_dir), _customers(spark, sf_dir), "o_custkey",
+                           ["o_orderkey"], SALT_BUCKETS)
+
+
 def oracle() -> dict[str, str]:
     sql = oracle_sql.all_queries()
     return {k: v for k, v in sql.items() if k in QUERIES}

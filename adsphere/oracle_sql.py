@@ -371,6 +371,23 @@ def tag_queries() -> dict[str, str]:
     return out
 
 
+# ---------------------------------------------------------------- skew toolkit
+def skew_queries() -> dict[str, str]:
+    plain = ("SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_nationkey FROM orders o "
+             "LEFT JOIN customer c ON o.o_custkey = c.c_custkey")
+    ib = identity_base()
+    return {
+        "skew_hot_keys": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) >= 15",
+        "skew_filter_join": (f"{ib}, {components_cte('recs')},\n nodes AS (SELECT DISTINCT unnest(ids) AS id FROM recs),\n"
+                             " m AS (SELECT n.id, coalesce(c.component, n.id) AS component FROM nodes n LEFT JOIN comp c ON n.id = c.id)\n"
+                             "SELECT a.androidid, a.mac, m.component FROM ad_log a LEFT JOIN m ON a.androidid = m.id"),
+        "skew_broadcast_join": plain,
+        "skew_two_phase_count": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey",
+        "skew_isolate_join": plain,
+        "skew_expand_join": plain,
+    }
+
+
 def all_queries() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(report_queries())
@@ -379,5 +396,6 @@ def all_queries() -> dict[str, str]:
     out.update(tag_queries())
     out.update(profile_queries())
     out.update(snapshot_queries())
+    out.update(skew_queries())
     return {k: (v.replace("WITH ", "WITH RECURSIVE ", 1) if "_r(node, lbl)" in v else v)
             for k, v in out.items()}
