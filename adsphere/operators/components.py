@@ -12,9 +12,9 @@ Scale notes
   (one identifier shared by a third of all records) never concentrates its
   edge list in one task; the edge ⋈ min join on a hub is split by AQE's skew
   join.
-* Each round is cut with a reliable ``checkpoint()`` into the folder named by
-  ``spark.checkpoint.dir`` — plans stay short and a lost executor recomputes
-  at most one round.
+* Each round is cut by writing its edges as a Parquet table under the folder
+  named by ``spark.checkpoint.dir`` — plans stay short and a lost executor
+  recomputes at most one round.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,8 +30,9 @@ def _large_star(edges: DataFrame) -> DataFrame:
         edges.select(F.col("dst").alias("u"), F.col("src").alias("v")))
     mins = sym.groupBy("u").agg(F.min("v").alias("mn")).select(
         "u", F.least(F.col("u"), F.col("mn")).alias("m"))
+    # duplicates are removed by the small-star step that always follows
     return (sym.where(F.col("v") > F.col("u")).join(mins, "u")
-            .select(F.col("v").alias("src"), F.col("m").alias("dst")).distinct())
+            .select(F.col("v").alias("src"), F.col("m").alias("dst")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -59,10 +60,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     cur = (edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
            .where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
            .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-           .distinct()).checkpoint()
+           .distinct())
+    cur = materialize(cur, "cc-edges")
     prev = _fingerprint(cur)
     for _ in range(max_rounds):
-        nxt = _small_star(_large_star(cur)).checkpoint()
+        nxt = materialize(_small_star(_large_star(cur)), "cc-round")
         fp = _fingerprint(nxt)
         cur = nxt
         if fp == prev:

@@ -52,19 +52,27 @@ def decay(tags: DataFrame, coefficient: float = DEFAULT_DECAY) -> DataFrame:
     return tags.withColumn("weight", F.col("weight") * F.lit(float(coefficient)))
 
 
-def merge_history(history_tags: DataFrame, history_ids: DataFrame, today_tags: DataFrame,
-                  today_ids: DataFrame, coefficient: float = DEFAULT_DECAY):
-    """Decay → union → components over both days' persons → sum.
-
-    Persons of both days are joined by the ids they share; each (person, id)
-    pair is an edge, so two people merged today carry their history along.
+def merge_history(history_tags: DataFrame, history_ids: DataFrame, today_records: DataFrame,
+                  coefficient: float = DEFAULT_DECAY):
+    """E8 + U1: decay → union with today → components over both days → sum.
+
+    Yesterday's persons enter as (person, id) edges, today's records as
+    (main id, id) edges; components over their union give the same groups
+    as first grouping today's records into persons and then merging, so
+    today's records are not grouped twice.  Two people merged today carry
+    their history along.
     """
-    ids = history_ids.unionByName(today_ids)
-    comps = connected_components(ids.select(F.col("person").alias("src"), F.col("id").alias("dst")))
+    today_edges = identity_edges(today_records)
+    edges = history_ids.select(F.col("person").alias("src"), F.col("id").alias("dst")).unionByName(today_edges)
+    comps = connected_components(edges)
     label = comps.select(F.col("id").alias("person"), F.col("component"))
+    today_tags = today_records.select(F.col("main_id").alias("person"), F.explode("tags").alias("tag"),
+                                      F.lit(1.0).alias("weight"))
     tags = decay(history_tags, coefficient).unionByName(today_tags)
     merged = (tags.join(label, "person", "left")
               .withColumn("person", F.coalesce(F.col("component"), F.col("person"))).drop("component"))
+    ids = history_ids.unionByName(today_records.select(F.col("main_id").alias("person"),
+                                                       F.explode("ids").alias("id")))
     merged_ids = (ids.join(label, "person", "left")
                   .select(F.coalesce(F.col("component"), F.col("person")).alias("person"), "id").distinct())
     return sum_tags(merged), merged_ids

@@ -3,7 +3,7 @@
 Mirrors the reference job's stages (filter, area join, dictionary lookups,
 nine tag families, identity graph, aggregation, history merge) as one
 DataFrame plan; the records frame feeds several consumers, so it is
-checkpointed once instead of being recomputed per consumer.
+written once as a table instead of being recomputed per consumer.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from ..operators.tag_agg import DEFAULT_DECAY, merge_history, person_profile
 from ..sources.adlog import HISTORY_DS, TODAY_DS, ad_log
 from ..sources.dims import (CLIENT_OTHER, NETWORK_OTHER, OPERATOR_OTHER, app_dictionary,
                             device_dictionary, geocode_responses)
+from ..session import materialize
 from . import business_area as ba
 from .ods import build_ods
 
@@ -27,9 +28,11 @@ TAG_INPUT = ("ip", "appid", "appname", "client", "ispname", "networkmannername",
 
 
 def lookup(df: DataFrame, key: DataFrame | object, dictionary: DataFrame, out: str,
-           default=None) -> DataFrame:
-    """Left join to a (key, value) dictionary after a size check."""
-    d = checked_broadcast(dictionary.toDF("_k", out))
+           default=None, bounded: bool = False) -> DataFrame:
+    """Left join to a (key, value) dictionary, broadcast after a size check
+    (``bounded=True``: a fixed literal table whose size is known, no check job)."""
+    d = dictionary.toDF("_k", out)
+    d = F.broadcast(d) if bounded else checked_broadcast(d)
     joined = df.join(d, key == d["_k"], "left").drop("_k")
     if default is not None:
         joined = joined.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
@@ -45,16 +48,17 @@ def tag_inputs(spark: SparkSession, sf_dir: str, ods: DataFrame | None = None) -
     """Identified ODS rows with areas and dictionary values attached."""
     if ods is None:
         ods = build_ods(spark, sf_dir, list(TAG_INPUT), with_ds=True)
-    library = ba.area_library(ba.coordinate_areas(
+    # the business-area table is a daily dataset of its own: materialise it once
+    library = materialize(ba.area_library(ba.coordinate_areas(
         ba.distinct_coordinates(ad_log(spark, sf_dir, ["longitude", "latitude"])),
-        geocode_responses(spark, sf_dir)))
+        geocode_responses(spark, sf_dir))), "area-library")
     df = ba.with_areas(identified(ods), library)
     df = lookup(df, F.col("appid"), app_dictionary(spark, sf_dir), "app_dict_name")
     dev = device_dictionary(spark)
     # a NULL client reads 0 (unboxed long), which the dictionary does not hold
-    df = lookup(df, F.coalesce(F.col("client"), F.lit(0)).cast("string"), dev, "client_code", CLIENT_OTHER)
-    df = lookup(df, F.col("ispname"), dev, "operator_code", OPERATOR_OTHER)
-    df = lookup(df, F.col("networkmannername"), dev, "network_code", NETWORK_OTHER)
+    df = lookup(df, F.coalesce(F.col("client"), F.lit(0)).cast("string"), dev, "client_code", CLIENT_OTHER, True)
+    df = lookup(df, F.col("ispname"), dev, "operator_code", OPERATOR_OTHER, True)
+    df = lookup(df, F.col("networkmannername"), dev, "network_code", NETWORK_OTHER, True)
     return df
 
 
@@ -71,7 +75,7 @@ def day(records: DataFrame, ds: str) -> DataFrame:
 
 def records_for(spark: SparkSession, sf_dir: str, families=None) -> DataFrame:
     """Tagged records of both fixture days, checkpointed (reused by every consumer)."""
-    return tagged_records(tag_inputs(spark, sf_dir), families).checkpoint()
+    return materialize(tagged_records(tag_inputs(spark, sf_dir), families), "tagged-records")
 
 
 def today_profile(spark: SparkSession, sf_dir: str, families=None):
@@ -86,5 +90,4 @@ def merged_profile(spark: SparkSession, sf_dir: str, families=None,
                    coefficient: float = DEFAULT_DECAY):
     recs = records_for(spark, sf_dir, families)
     h_tags, h_ids = person_profile(day(recs, HISTORY_DS))
-    t_tags, t_ids = person_profile(day(recs, TODAY_DS))
-    return merge_history(h_tags, h_ids, t_tags, t_ids, coefficient)
+    return merge_history(h_tags, h_ids, day(recs, TODAY_DS), coefficient)

@@ -12,7 +12,8 @@ Join plan (sizes at scale: lineitem ≫ orders > customer ≫ nation):
 joined to ``lineitem`` on ``l_orderkey``; ``part`` is joined on ``l_partkey``.
 ``nation`` has the spec-fixed 25 rows and is broadcast; every other join is
 left to the planner (sort-merge at scale, AQE turns small sides into
-broadcasts at run time, and splits skewed partitions).
+broadcasts at run time, and splits skewed partitions).  ``lineitem ⋈ orders``
+carries a sort-merge hint: both are fact-sized.
 """
 
 from __future__ import annotations
@@ -115,7 +116,10 @@ def ad_log(spark: SparkSession, sf_dir: str, columns=None, with_ds: bool = False
                 nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
                 cust = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey)
             side = side.join(cust, side.o_custkey == cust.c_custkey)
-        df = df.join(side, df.l_orderkey == side.o_orderkey)
+        # Both sides are fact-sized at scale: pin a sort-merge join so the
+        # planner never broadcasts lineitem on a stale size estimate, and the
+        # work after the join runs in shuffle partitions.
+        df = df.join(side.hint("merge"), df.l_orderkey == side.o_orderkey)
     if "part" in need:
         part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_type")
         df = df.join(part, df.l_partkey == part.p_partkey)

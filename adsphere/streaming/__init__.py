@@ -1 +1 @@
-"""adsphere.streaming."""
+"""Streaming drivers for the daily jobs (file stream → running aggregates)."""

@@ -20,16 +20,25 @@ def spark():
     s.stop()
 
 
-@pytest.fixture(scope="session")
-def duck():
+def _duck(sf_dir):
     import duckdb
     from adsphere.sources.tables import TABLES, table_path
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{table_path(SF01, t)}')")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{table_path(sf_dir, t)}')")
     return con
 
 
+@pytest.fixture(scope="session")
+def duck():
+    return _duck(SF01)
+
+
+@pytest.fixture(scope="session")
+def duck_small():
+    return _duck(SF001)
+
+
 def sorted_rows(rows, ndigits=9):
     def norm(v):
         if isinstance(v, float):
@@ -40,9 +49,9 @@ def sorted_rows(rows, ndigits=9):
     return sorted(tuple(norm(x) for x in r) for r in rows)
 
 
-def assert_matches_oracle(spark, duck, name):
+def assert_matches_oracle(spark, duck, name, sf_dir=SF01):
     import __spark_entry__ as entry
-    df = entry.queries()[name](spark, SF01)
+    df = entry.queries()[name](spark, sf_dir)
     cols = df.columns
     got = [tuple(r) for r in df.collect()]
     cur = duck.execute(entry.oracle_sql()[name])
