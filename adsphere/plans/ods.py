@@ -53,11 +53,12 @@ def enrich(log: DataFrame, ranges: DataFrame) -> DataFrame:
                       *[c for c in out.columns if c not in ODS_COLUMNS])
 
 
-def build_ods(spark: SparkSession, sf_dir: str, columns=None, with_ds: bool = False) -> DataFrame:
+def build_ods(spark: SparkSession, sf_dir: str, columns=None, with_ds: bool = False,
+              ds: str | None = None) -> DataFrame:
     cols = list(columns) if columns is not None else list(ODS_COLUMNS)
     if "ip" not in cols:
         cols.append("ip")
-    log = ad_log(spark, sf_dir, [c for c in cols if c not in ("province", "city")], with_ds=with_ds)
+    log = ad_log(spark, sf_dir, [c for c in cols if c not in ("province", "city")], with_ds=with_ds, ds=ds)
     out = enrich(log, ip_ranges(spark, sf_dir))
     keep = [c for c in out.columns if c in cols or c == "ds"]
     return out.select(*keep)

@@ -44,14 +44,16 @@ def identified(ods: DataFrame) -> DataFrame:
     return ods.where(any_identifier())
 
 
-def tag_inputs(spark: SparkSession, sf_dir: str, ods: DataFrame | None = None) -> DataFrame:
+def tag_inputs(spark: SparkSession, sf_dir: str, ods: DataFrame | None = None,
+               library: DataFrame | None = None) -> DataFrame:
     """Identified ODS rows with areas and dictionary values attached."""
     if ods is None:
         ods = build_ods(spark, sf_dir, list(TAG_INPUT), with_ds=True)
-    # the business-area table is a daily dataset of its own: materialise it once
-    library = materialize(ba.area_library(ba.coordinate_areas(
-        ba.distinct_coordinates(ad_log(spark, sf_dir, ["longitude", "latitude"])),
-        geocode_responses(spark, sf_dir))), "area-library")
+    if library is None:
+        # the business-area table is a daily dataset of its own: materialise it once
+        library = materialize(ba.area_library(ba.coordinate_areas(
+            ba.distinct_coordinates(ad_log(spark, sf_dir, ["longitude", "latitude"])),
+            geocode_responses(spark, sf_dir))), "area-library")
     df = ba.with_areas(identified(ods), library)
     df = lookup(df, F.col("appid"), app_dictionary(spark, sf_dir), "app_dict_name")
     dev = device_dictionary(spark)

@@ -100,13 +100,29 @@ def needed_tables(columns) -> set[str]:
     return need
 
 
-def ad_log(spark: SparkSession, sf_dir: str, columns=None, with_ds: bool = False) -> DataFrame:
-    """The log restricted to ``columns`` (all when None), joining only what they need."""
+def day_filter(ds: str):
+    """The rows of one fixture day as a predicate on ``l_shipdate`` (pushed into the scan)."""
+    bound = F.lit(f"{HISTORY_END} 00:00:00").cast("timestamp")
+    if ds == HISTORY_DS:
+        return F.col("l_shipdate") < bound
+    if ds == TODAY_DS:
+        return F.col("l_shipdate") >= bound
+    raise ValueError(f"the fixture has no day {ds!r}")
+
+
+def ad_log(spark: SparkSession, sf_dir: str, columns=None, with_ds: bool = False,
+           ds: str | None = None) -> DataFrame:
+    """The log restricted to ``columns`` (all when None), joining only what they need.
+
+    ``ds`` keeps one day; the predicate reaches the lineitem scan.
+    """
     cols = list(columns) if columns is not None else list(AD_LOG_COLUMNS)
     if with_ds and "event_ts" not in cols:
         cols.append("event_ts")
     need = needed_tables(cols)
     df = read_table(spark, sf_dir, "lineitem")
+    if ds is not None:
+        df = df.where(day_filter(ds))
     if "orders" in need:
         side = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
         if "customer" in need:
