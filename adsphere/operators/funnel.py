@@ -84,14 +84,18 @@ def client_label(col: Column) -> Column:
             .when(col == 3, F.lit("wp")).otherwise(F.lit("other")))
 
 
-def device_report(df: DataFrame) -> DataFrame:
-    """A4: grouped on the raw ``client`` (so 4, 5 and NULL stay separate rows)."""
-    rep = funnel_report(df, ["client", "device"])
+def device_labels(rep: DataFrame) -> DataFrame:
+    """Label the raw client of a (client, device) report, keeping the raw value as ``client_id``."""
     return rep.select(client_label(F.col("client")).alias("client"),
                       F.col("client").alias("client_id"),
                       *[c for c in rep.columns if c != "client"])
 
 
+def device_report(df: DataFrame) -> DataFrame:
+    """A4: grouped on the raw ``client`` (so 4, 5 and NULL stay separate rows)."""
+    return device_labels(funnel_report(df, ["client", "device"]))
+
+
 def count_report(df: DataFrame, dims: list[str]) -> DataFrame:
     """A1: plain row count per group."""
     return df.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"))

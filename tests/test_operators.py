@@ -187,3 +187,13 @@ def test_json_log_scan(spark):
     ods = jsonlog.ods_projection(df)
     assert len(ods.columns) == 89
     assert df.schema["requestmode"].dataType.simpleString() == "bigint"
+
+
+def test_views_for_sql(spark):
+    from adsphere.sources.views import register_views
+    from conftest import SF001
+    names = register_views(spark, SF001)
+    assert "ods" in names
+    n = spark.sql("SELECT count(*) FROM ods WHERE ds = '19980701'").collect()[0][0]
+    assert n > 0
+    assert spark.sql("SELECT count(*) FROM device_dict").collect()[0][0] == 13

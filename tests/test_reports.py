@@ -41,3 +41,15 @@ def test_device_report_keeps_raw_client_groups(spark):
     out = device_report(spark.createDataFrame(rows, schema)).collect()
     labels = sorted(r.client for r in out)
     assert labels == ["android ", "other", "other", "other"]
+
+
+def test_one_pass_reports_equal_separate(spark):
+    from adsphere.plans.reports import all_reports, reports_one_pass
+    from adsphere.sources.adlog import ad_log
+    from conftest import SF001, sorted_rows
+    ods = ad_log(spark, SF001)
+    sep, one = all_reports(ods), reports_one_pass(ods)
+    assert set(sep) == set(one)
+    for name, df in sep.items():
+        got = one[name].select(*df.columns).collect()
+        assert sorted_rows(got) == sorted_rows(df.collect()), name
