@@ -23,7 +23,6 @@ METRIC_COLUMNS = ("org_num", "valid_num", "ad_num", "bid_num", "bid_success_num"
                   "bid_success_rat", "show_num", "click_num", "click_rat",
                   "media_show_num", "media_click_num", "consumption_number", "cost_number")
 
-MONEY_TYPE = "decimal(18,2)"
 
 
 def _flags():
@@ -36,9 +35,15 @@ def _flags():
 
 
 def _money(cond: Column, column: str) -> Column:
-    # Exact, order-independent sum (decimal), reported in thousands as double.
-    total = F.sum(F.when(cond, F.col(column).cast(MONEY_TYPE)))
-    return F.coalesce(total, F.lit(0).cast(MONEY_TYPE)).cast("double") / F.lit(1000.0)
+    """Exact, order-independent money sum, reported in thousands as double.
+
+    Amounts are summed as whole cents in a ``long`` — exact like a decimal
+    sum, but with a primitive aggregation buffer (a ``decimal(28,2)`` buffer
+    is BigDecimal-backed).  ``cents / 100`` then ``/ 1000`` rounds the same
+    way as casting the decimal total to double.
+    """
+    cents = F.sum(F.when(cond, F.round(F.col(column) * F.lit(100.0)).cast("long")))
+    return F.coalesce(cents, F.lit(0).cast("long")).cast("double") / F.lit(100.0) / F.lit(1000.0)
 
 
 def funnel_aggregates() -> list[Column]:
