@@ -154,7 +154,7 @@ def identified_rows(spark, sf_dir):
 @register("identity_ids")
 def identity_ids(spark, sf_dir):
     recs = _id_records(spark, sf_dir)
-    return recs.select("main_id", F.array_join("ids", ",").alias("ids"), F.size("ids").alias("n_ids"))
+    return recs.select("main_id", F.array_join("ids", ",").alias("ids"), F.size("ids").cast("bigint").alias("n_ids"))
 
 
 @register("identity_edges")

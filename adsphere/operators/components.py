@@ -76,3 +76,15 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     roots = cur.select(F.col("dst").alias("id"), F.col("dst").alias("component")).distinct()
     members = cur.select(F.col("src").alias("id"), F.col("dst").alias("component"))
     return members.unionByName(roots).distinct()
+
+
+def graph_summary(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """E5b (diagnostic): one row with the node and distinct-edge counts of a graph."""
+    e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
+    nodes = e.select(F.lit("node").alias("kind"), F.col("a").alias("x"), F.lit(None).cast("string").alias("y"))
+    nodes = nodes.unionByName(e.select(F.lit("node").alias("kind"), F.col("b").alias("x"),
+                                       F.lit(None).cast("string").alias("y")))
+    pairs = e.select(F.lit("edge").alias("kind"), F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+    items = nodes.unionByName(pairs).distinct()
+    return items.agg(F.count_if(F.col("kind") == "node").alias("nodes"),
+                     F.count_if(F.col("kind") == "edge").alias("edges"))

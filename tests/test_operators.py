@@ -197,3 +197,19 @@ def test_views_for_sql(spark):
     n = spark.sql("SELECT count(*) FROM ods WHERE ds = '19980701'").collect()[0][0]
     assert n > 0
     assert spark.sql("SELECT count(*) FROM device_dict").collect()[0][0] == 13
+
+
+def test_text_dictionary_later_key_wins(spark):
+    from adsphere.sources.dictionary import read_kv_dictionary
+    path = os.path.join(tempfile.mkdtemp(prefix="adsphere-dict-"), "dict.txt")
+    with open(path, "w") as f:
+        f.write("1##D00010001\nWIFI##D00020001\nbroken line\n1##D00019999\n")
+    got = {r.key: r.value for r in read_kv_dictionary(spark, path).collect()}
+    assert got == {"1": "D00019999", "WIFI": "D00020001"}
+
+
+def test_graph_summary(spark):
+    from adsphere.operators.components import graph_summary
+    e = spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "c")], "src string, dst string")
+    r = graph_summary(e).collect()[0]
+    assert (r.nodes, r.edges) == (3, 2)
