@@ -61,12 +61,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
            .where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
            .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
            .distinct())
-    cur = materialize(cur, "cc-edges")
-    prev = _fingerprint(cur)
+    prev = None
     for _ in range(max_rounds):
-        nxt = materialize(_small_star(_large_star(cur)), "cc-round")
-        fp = _fingerprint(nxt)
-        cur = nxt
+        # each round reads the previous round's table: lineage never grows
+        cur = materialize(_small_star(_large_star(cur)), "cc-round")
+        fp = _fingerprint(cur)
         if fp == prev:
             break
         prev = fp

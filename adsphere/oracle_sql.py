@@ -79,8 +79,9 @@ IP_RANGES_CTE = """ip_ranges AS (
         CASE WHEN b.j < 3 THEN 'P' || n_nationkey || '省C' || n_nationkey || '_' || b.j
              ELSE 'M' || n_nationkey END AS country,
         CASE WHEN b.j = 2 THEN ' CZ88.NET' ELSE 'ISP' || b.j END AS area
- FROM nation, (VALUES (0, 0, 255), (1, 256, 1023), (2, 1100, 4095), (3, 4096, 16777215)) b(j, lo, hi)
- WHERE n_nationkey <> 24)"""
+ FROM (SELECT n_nationkey, unnest([{'j': 0, 'lo': 0, 'hi': 255}, {'j': 1, 'lo': 256, 'hi': 1023},
+                                   {'j': 2, 'lo': 1100, 'hi': 4095}, {'j': 3, 'lo': 4096, 'hi': 16777215}]) AS b
+       FROM nation WHERE n_nationkey <> 24) t)"""
 
 
 def ip_num_sql(ip: str = "ip") -> str:
@@ -312,7 +313,7 @@ _FIELDS = ("app", "deviceModel", "deviceType", "client", "sex", "age", "business
 
 def profile_queries() -> dict[str, str]:
     mb = merged_base()
-    fields = ", ".join(f"('{f}')" for f in _FIELDS)
+    fields = ", ".join(f"'{f}'" for f in _FIELDS)
     return {
         "tag_codec": (f"{mb} SELECT person, string_agg('(' || tag || ',' || CAST(weight AS VARCHAR) || ')', ',' "
                       "ORDER BY tag) AS tags, count(*) AS n_tags FROM merged GROUP BY person"),
@@ -322,10 +323,10 @@ def profile_queries() -> dict[str, str]:
                          "per_field AS (SELECT person, field, count(*) AS n_values, string_agg('(' || value || ',' "
                          "|| CAST(weight AS VARCHAR) || ')', ',' ORDER BY value, weight) AS vals "
                          "FROM classified WHERE field IS NOT NULL GROUP BY person, field),\n"
-                         f"people AS (SELECT DISTINCT person FROM classified WHERE field IS NOT NULL)\n"
-                         f"SELECT p.person, f.field, coalesce(x.n_values, 0) AS n_values, coalesce(x.vals, '') AS \"values\" "
-                         f"FROM people p CROSS JOIN (VALUES {fields}) f(field) "
-                         "LEFT JOIN per_field x ON x.person = p.person AND x.field = f.field"),
+                         f"people AS (SELECT person, unnest([{fields}]) AS field FROM "
+                         "(SELECT DISTINCT person FROM classified WHERE field IS NOT NULL) d)\n"
+                         "SELECT p.person, p.field, coalesce(x.n_values, 0) AS n_values, coalesce(x.vals, '') AS \"values\" "
+                         "FROM people p LEFT JOIN per_field x ON x.person = p.person AND x.field = p.field"),
     }
 
 
