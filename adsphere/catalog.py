@@ -9,9 +9,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle_sql
+from .functions.codec import encode_pairs as _encode
+from .functions.geo import geohash8 as _geohash8
+from .functions.tags import ID_COLUMNS as _IDC
+from .functions.tags import any_identifier as _p3
+from .functions.tags import main_id as _main_id
+from .functions.tags import user_ids as _user_ids
+from .operators import skew as _sk
+from .operators import tag_agg as _ta
+from .operators.components import connected_components as _cc
+from .plans import business_area as _ba
+from .plans import ods as _ods
+from .plans import profile as _pf
 from .plans import reports
+from .plans import tagging as _tg
+from .sources import snapshots as _snap
+from .sources.adlog import TODAY_DS as _TDS
+from .sources.adlog import ad_log as _ad_log
+from .sources.dims import app_dictionary as _app_dict
+from .sources.dims import geocode_responses as _geocode
+from .sources.dims import ip_ranges as _ip_ranges
+from .sources.tables import read_table as _read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,12 +58,7 @@ for _name in ("report_province_city", "report_region", "report_app", "report_dev
     register(_name)(_report(_name))
 
 
-
-
 # ---------------------------------------------------------------- IP enrichment
-from .plans import ods as _ods  # noqa: E402
-from .sources.adlog import ad_log as _ad_log  # noqa: E402
-from .sources.dims import ip_ranges as _ip_ranges  # noqa: E402
 
 
 @register("ip_distinct")
@@ -69,11 +85,7 @@ def ods_build(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- business areas
-from pyspark.sql import functions as F  # noqa: E402
 
-from .functions.geo import geohash8 as _geohash8  # noqa: E402
-from .plans import business_area as _ba  # noqa: E402
-from .sources.dims import geocode_responses as _geocode  # noqa: E402
 
 _COORDS = ["longitude", "latitude"]
 
@@ -124,13 +136,6 @@ def area_lookup(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- tags and identity
-from .functions.tags import ID_COLUMNS as _IDC, any_identifier as _p3, main_id as _main_id, \
-    user_ids as _user_ids  # noqa: E402
-from .operators import tag_agg as _ta  # noqa: E402
-from .operators.components import connected_components as _cc  # noqa: E402
-from .plans import tagging as _tg  # noqa: E402
-from .sources.adlog import HISTORY_DS as _HDS, TODAY_DS as _TDS  # noqa: E402
-from .sources.dims import app_dictionary as _app_dict  # noqa: E402
 
 
 def _id_records(spark, sf_dir):
@@ -231,9 +236,6 @@ def dict_lookup(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- profile export and snapshots
-from .functions.codec import encode_pairs as _encode  # noqa: E402
-from .plans import profile as _pf  # noqa: E402
-from .sources import snapshots as _snap  # noqa: E402
 
 
 def _merged_rounded(spark, sf_dir):
@@ -272,8 +274,6 @@ def sink_key_check(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- skew toolkit
-from .operators import skew as _sk  # noqa: E402
-from .sources.tables import read_table as _read  # noqa: E402
 
 HOT_ORDER_COUNT = 15  # a customer with this many orders is a hot key (FIXTURES §3.3)
 SALT_BUCKETS = 10
