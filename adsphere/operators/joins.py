@@ -5,19 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when its row count is checked to be below this.
+# A dimension is broadcast only when it is checked to be below both limits.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting it; otherwise leave a shuffle join.
+def measure(df: DataFrame):
+    """(rows, approximate bytes) of ``df`` in one aggregation job.
 
-    The count is one cheap job over a dimension.  Beyond the limit the plain
-    frame is returned, and the planner uses a sort-merge join (AQE can still
-    switch to broadcast at run time and split skewed partitions).
+    Bytes are the UTF-8 length of every value's text form plus 8 per value —
+    close to the size of the rows a broadcast ships.
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) + F.lit(8)
+             for f in df.schema.fields]
+    row_bytes = sizes[0]
+    for c in sizes[1:]:
+        row_bytes = row_bytes + c
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes.cast("long")).alias("b")).collect()[0]
+    return r["n"], r["b"] or 0
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after measuring it; otherwise leave a shuffle join.
+
+    The measurement is one cheap job over a dimension.  Beyond either limit
+    the plain frame is returned, and the planner uses a sort-merge join (AQE
+    can still switch to broadcast at run time and split skewed partitions).
+    """
+    n, b = measure(df)
+    return F.broadcast(df) if n <= max_rows and b <= max_bytes else df
 
 
 def bucket_ranges(ranges: DataFrame, start: str, end: str, bits: int = 16,

@@ -31,3 +31,11 @@ def streaming_funnel(stream: DataFrame, dims: list[str]) -> DataFrame:
 def funnel_snapshot(running: DataFrame, dims: list[str]) -> DataFrame:
     """Add the ratio columns to a (batch) read of the running sums."""
     return with_ratios(running, list(dims))
+
+
+def streaming_ods(stream: DataFrame, ranges: DataFrame) -> DataFrame:
+    """IP enrichment of arriving log rows: a stream–static join against the
+    size-checked, broadcast bucketed ranges (no state, no shuffle)."""
+    from ..plans.ods import enrich
+
+    return enrich(stream, ranges)

@@ -213,3 +213,23 @@ def test_graph_summary(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "c")], "src string, dst string")
     r = graph_summary(e).collect()[0]
     assert (r.nodes, r.edges) == (3, 2)
+
+
+def test_checked_broadcast_limits(spark):
+    from adsphere.operators.joins import checked_broadcast, measure
+    df = spark.createDataFrame([("abc", 1), ("de", None)], "s string, n int")
+    n, b = measure(df)
+    assert n == 2 and b == (3 + 8 + 1 + 8) + (2 + 8 + 0 + 8)
+    small = checked_broadcast(df)
+    big = checked_broadcast(df, max_bytes=10)
+    probe = spark.range(5).selectExpr("cast(id as string) as s")
+
+    def plan(df):
+        import contextlib
+        import io
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue()
+    assert "BroadcastHashJoin" in plan(probe.join(small, "s"))
+    assert probe.join(big, "s").count() == 0
