@@ -233,3 +233,32 @@ def test_checked_broadcast_limits(spark):
         return buf.getvalue()
     assert "BroadcastHashJoin" in plan(probe.join(small, "s"))
     assert probe.join(big, "s").count() == 0
+
+
+def test_enrich_edge_cases(spark):
+    from adsphere.plans.ods import enrich
+    log = spark.createDataFrame(
+        [("16.0.0.1", 1), ("40.0.0.1", 2), ("16.0.4.10", 3), ("1.2.3", 4), (None, 5), ("", 6)],
+        "ip string, k int")
+    got = {r.k: (r.province, r.city) for r in enrich(log, ip_ranges(spark, SF01)).collect()}
+    assert got[1] == ("P0省", "C0_0")                 # block 0 of nation 0
+    assert got[2] == ("未知国家", "未知国家")          # nation 24 has no ranges
+    assert got[3] == ("未知国家", "未知国家")          # offsets 1024-1099 match nothing
+    assert got[4] == ("未知国家", "未知国家")          # malformed text
+    assert got[5] == (None, None) and got[6] == (None, None)   # no IP: row kept, no location
+    assert len(got) == 6
+
+
+def test_hub_identifier_holding_a_third_of_records(spark):
+    # 900 records; every third one carries the same hub id next to its own id
+    rows = []
+    for i in range(900):
+        ids = [f"A{i:04d}"] + (["HUB"] if i % 3 == 0 else [])
+        rows.append((ids[0], ids, ["t"]))
+    recs = _records(spark, rows).repartition(6)
+    tags, ids = person_profile(recs)
+    got = {r.person: r.weight for r in tags.collect()}
+    # the hub joins 300 records into one person; the other 600 stay alone
+    assert got["A0000"] == 300.0
+    assert sum(1 for w in got.values() if w == 1.0) == 600
+    assert ids.where(F.col("person") == "A0000").count() == 301
