@@ -37,15 +37,15 @@ def coordinate_areas(coords: DataFrame, responses: DataFrame) -> DataFrame:
 def area_library(coords_with_areas: DataFrame) -> DataFrame:
     """P5 + dedup: one row per geohash, names distinct and sorted, joined by ','.
 
-    Names are exploded and made distinct per (geohash, name) first — a
-    partial-aggregated shuffle — so the per-geohash collect only ever holds
-    distinct names, however many coordinates fall in one cell.
+    ``collect_set`` aggregates partially on the map side, so however many
+    coordinates fall in one cell, each task ships and the reducer holds only
+    that cell's distinct names.
     """
     names = (coords_with_areas.where(F.col("areas") != "")
              .select("geohash", F.explode("_names").alias("name"))
-             .where(F.col("name").isNotNull()).distinct())
+             .where(F.col("name").isNotNull()))
     return (names.groupBy("geohash")
-            .agg(F.array_join(F.sort_array(F.collect_list("name")), ",").alias("areas")))
+            .agg(F.array_join(F.sort_array(F.collect_set("name")), ",").alias("areas")))
 
 
 def with_areas(ods: DataFrame, library: DataFrame) -> DataFrame:
