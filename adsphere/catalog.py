@@ -74,7 +74,6 @@ def ip_geo(spark, sf_dir):
 
 @register("region_city_split")
 def region_city_split(spark, sf_dir):
-    from pyspark.sql import functions as F
     ods = _ods.build_ods(spark, sf_dir, ["ip", "province", "city"])
     return ods.groupBy("province", "city").agg(F.count(F.lit(1)).alias("n_rows"))
 
