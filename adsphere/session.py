@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 
@@ -71,6 +72,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tables/{name}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the tables :func:`materialize` writes inside the block when it ends.
+
+    For jobs whose results are written elsewhere before the block ends (the
+    daily job); frames still reading a scratch table must not outlive it.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.remove(paths)
+        for p in paths:
+            _delete(spark, p)
+
+
 def materialize(df, name: str):
     """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
 
@@ -84,4 +111,6 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return spark.read.parquet(path)

@@ -8,9 +8,18 @@ from adsphere.sources.snapshots import read_snapshot
 from conftest import SF001, sorted_rows
 
 
+def _scratch_tables(spark):
+    import os
+    from adsphere.session import scratch_path
+    base = os.path.dirname(scratch_path(spark, "x"))
+    return set(os.listdir(base)) if os.path.isdir(base) else set()
+
+
 def test_two_days_equal_the_one_shot_merge(spark):
     root = tempfile.mkdtemp(prefix="adsphere-daily-")
+    before = _scratch_tables(spark)
     run_day(spark, SF001, root, HISTORY_DS)
+    assert _scratch_tables(spark) <= before   # intermediates removed
     paths = run_day(spark, SF001, root, TODAY_DS)
     got = rounded(read_snapshot(spark, root, "TAG", TODAY_DS, TAG_SCHEMA))
     want = entry.queries()["tag_merge"](spark, SF001)
