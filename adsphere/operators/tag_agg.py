@@ -34,16 +34,32 @@ def sum_tags(tagged: DataFrame) -> DataFrame:
     return tagged.groupBy("person", "tag").agg(F.sum("weight").alias("weight"))
 
 
+def tags_per_main_id(records: DataFrame) -> DataFrame:
+    """(main_id as person, tag, weight): records pre-aggregated before any join.
+
+    A main id shared by a third of all records reaches the next shuffle as
+    one row per distinct tag (partial aggregation), not one row per record.
+    """
+    return (records.select(F.col("main_id").alias("person"), F.explode("tags").alias("tag"))
+            .groupBy("person", "tag").agg(F.count(F.lit(1)).cast("double").alias("weight")))
+
+
+def relabel(df: DataFrame, components: DataFrame) -> DataFrame:
+    """Replace ``person`` by its component label (kept when the id is isolated)."""
+    label = components.select(F.col("id").alias("person"), F.col("component"))
+    return (df.join(label, "person", "left")
+            .withColumn("person", F.coalesce(F.col("component"), F.col("person"))).drop("component"))
+
+
 def person_profile(records: DataFrame):
     """Components over one day's records; returns (tags, ids) long frames.
 
     ``records`` has ``main_id``, ``ids`` and ``tags`` (each tag weighs 1.0).
     """
     comps = connected_components(identity_edges(records))
-    with_person = assign_person(records, comps)
-    tags = sum_tags(with_person.select("person", F.explode("tags").alias("tag"),
-                                       F.lit(1.0).alias("weight")))
-    ids = with_person.select("person", F.explode("ids").alias("id")).distinct()
+    tags = sum_tags(relabel(tags_per_main_id(records), comps))
+    ids = relabel(records.select(F.col("main_id").alias("person"), F.explode("ids").alias("id")).distinct(),
+                  comps).distinct()
     return tags, ids
 
 
@@ -65,17 +81,10 @@ def merge_history(history_tags: DataFrame, history_ids: DataFrame, today_records
     today_edges = identity_edges(today_records)
     edges = history_ids.select(F.col("person").alias("src"), F.col("id").alias("dst")).unionByName(today_edges)
     comps = connected_components(edges)
-    label = comps.select(F.col("id").alias("person"), F.col("component"))
-    today_tags = today_records.select(F.col("main_id").alias("person"), F.explode("tags").alias("tag"),
-                                      F.lit(1.0).alias("weight"))
-    tags = decay(history_tags, coefficient).unionByName(today_tags)
-    merged = (tags.join(label, "person", "left")
-              .withColumn("person", F.coalesce(F.col("component"), F.col("person"))).drop("component"))
+    tags = decay(history_tags, coefficient).unionByName(tags_per_main_id(today_records))
     ids = history_ids.unionByName(today_records.select(F.col("main_id").alias("person"),
                                                        F.explode("ids").alias("id")))
-    merged_ids = (ids.join(label, "person", "left")
-                  .select(F.coalesce(F.col("component"), F.col("person")).alias("person"), "id").distinct())
-    return sum_tags(merged), merged_ids
+    return sum_tags(relabel(tags, comps)), relabel(ids.distinct(), comps).distinct()
 
 
 def rounded(tags: DataFrame) -> DataFrame:
