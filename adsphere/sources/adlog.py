@@ -102,7 +102,8 @@ def needed_tables(columns) -> set[str]:
 
 def day_filter(ds: str):
     """The rows of one fixture day as a predicate on ``l_shipdate`` (pushed into the scan)."""
-    bound = F.lit(f"{HISTORY_END} 00:00:00").cast("timestamp")
+    # a zone-free literal: the column is timestamp_ntz, the split must not move with the session zone
+    bound = F.lit(f"{HISTORY_END} 00:00:00").cast("timestamp_ntz")
     if ds == HISTORY_DS:
         return F.col("l_shipdate") < bound
     if ds == TODAY_DS:
@@ -141,5 +142,5 @@ def ad_log(spark: SparkSession, sf_dir: str, columns=None, with_ds: bool = False
         df = df.join(part, df.l_partkey == part.p_partkey)
     out = df.select(*[F.expr(AD_LOG_EXPRESSIONS[c]).alias(c) for c in cols])
     if with_ds:
-        out = out.withColumn("ds", F.expr(DS_EXPRESSION))
+        out = out.withColumn("ds", F.expr(DS_EXPRESSION.replace("timestamp '", "timestamp_ntz '")))
     return out
