@@ -87,6 +87,27 @@ def merge_history(history_tags: DataFrame, history_ids: DataFrame, today_records
     return sum_tags(relabel(tags, comps)), relabel(ids.distinct(), comps).distinct()
 
 
+def merge_in_one_pass(records: DataFrame, today_ds: str, coefficient: float = DEFAULT_DECAY):
+    """E8 for two days of raw records at once: components over both days' ids,
+    then ``today_count + coefficient × history_count`` per person and tag.
+
+    Equal to decaying yesterday's persons and merging them with today
+    (:func:`merge_history`) — yesterday's persons are exactly the components
+    of yesterday's records — with one component pass instead of two.
+    ``records`` carries ``ds``; rows of other days are history.
+    """
+    comps = connected_components(identity_edges(records))
+    today = F.col("ds") == F.lit(today_ds)
+    per_main = (records.select(F.col("main_id").alias("person"), F.explode("tags").alias("tag"),
+                               today.alias("_today"))
+                .groupBy("person", "tag")
+                .agg(F.count_if(F.col("_today")).alias("t"), F.count_if(~F.col("_today")).alias("h"))
+                .select("person", "tag", (F.col("t").cast("double")
+                                          + F.lit(float(coefficient)) * F.col("h").cast("double")).alias("weight")))
+    ids = records.select(F.col("main_id").alias("person"), F.explode("ids").alias("id")).distinct()
+    return sum_tags(relabel(per_main, comps)), relabel(ids, comps).distinct()
+
+
 def rounded(tags: DataFrame) -> DataFrame:
     return tags.withColumn("weight", F.round(F.col("weight"), WEIGHT_DIGITS))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tags import ID_COLUMNS, any_identifier, main_id, record_tags, user_ids
 from ..operators.joins import checked_broadcast
-from ..operators.tag_agg import DEFAULT_DECAY, merge_history, person_profile
+from ..operators.tag_agg import DEFAULT_DECAY, merge_history, merge_in_one_pass, person_profile
 from ..sources.adlog import HISTORY_DS, TODAY_DS, ad_log
 from ..sources.dims import (CLIENT_OTHER, NETWORK_OTHER, OPERATOR_OTHER, app_dictionary,
                             device_dictionary, geocode_responses)
@@ -90,6 +90,13 @@ def history_profile(spark: SparkSession, sf_dir: str, families=None):
 
 def merged_profile(spark: SparkSession, sf_dir: str, families=None,
                    coefficient: float = DEFAULT_DECAY):
+    """Today's merged TAG from both fixture days' logs (one component pass)."""
+    return merge_in_one_pass(records_for(spark, sf_dir, families), TODAY_DS, coefficient)
+
+
+def merged_profile_staged(spark: SparkSession, sf_dir: str, families=None,
+                          coefficient: float = DEFAULT_DECAY):
+    """The same, staged as the daily job runs it: yesterday's persons, decayed, merged with today."""
     recs = records_for(spark, sf_dir, families)
     h_tags, h_ids = person_profile(day(recs, HISTORY_DS))
     return merge_history(h_tags, h_ids, day(recs, TODAY_DS), coefficient)

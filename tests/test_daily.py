@@ -33,3 +33,10 @@ def test_two_days_equal_the_one_shot_merge(spark):
     n_rows = got.count()
     run_day(spark, SF001, root, TODAY_DS)
     assert read_snapshot(spark, root, "TAG", TODAY_DS, TAG_SCHEMA).count() == n_rows
+
+
+def test_one_pass_merge_equals_staged(spark):
+    from adsphere.plans.tagging import merged_profile, merged_profile_staged
+    a, _ = merged_profile(spark, SF001)
+    b, _ = merged_profile_staged(spark, SF001)
+    assert sorted_rows(rounded(a).collect()) == sorted_rows(rounded(b).select(*a.columns).collect())
