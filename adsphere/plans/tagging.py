@@ -75,17 +75,19 @@ def day(records: DataFrame, ds: str) -> DataFrame:
     return records.where(F.col("ds") == ds).drop("ds")
 
 
-def records_for(spark: SparkSession, sf_dir: str, families=None) -> DataFrame:
-    """Tagged records of both fixture days, checkpointed (reused by every consumer)."""
-    return materialize(tagged_records(tag_inputs(spark, sf_dir), families), "tagged-records")
+def records_for(spark: SparkSession, sf_dir: str, families=None, ds: str | None = None) -> DataFrame:
+    """Tagged records of both fixture days (or of day ``ds`` only, read with the day
+    predicate in the scan), written once as a table reused by every consumer."""
+    ods = build_ods(spark, sf_dir, list(TAG_INPUT), with_ds=True, ds=ds)
+    return materialize(tagged_records(tag_inputs(spark, sf_dir, ods=ods), families), "tagged-records")
 
 
 def today_profile(spark: SparkSession, sf_dir: str, families=None):
-    return person_profile(day(records_for(spark, sf_dir, families), TODAY_DS))
+    return person_profile(day(records_for(spark, sf_dir, families, TODAY_DS), TODAY_DS))
 
 
 def history_profile(spark: SparkSession, sf_dir: str, families=None):
-    return person_profile(day(records_for(spark, sf_dir, families), HISTORY_DS))
+    return person_profile(day(records_for(spark, sf_dir, families, HISTORY_DS), HISTORY_DS))
 
 
 def merged_profile(spark: SparkSession, sf_dir: str, families=None,
