@@ -175,8 +175,9 @@ def identity_components(spark, sf_dir):
 def identity_records(spark, sf_dir):
     recs = _id_records(spark, sf_dir)
     comps = _cc(_ta.identity_edges(recs))
-    return (_ta.assign_person(recs, comps).groupBy("person", "main_id")
-            .agg(F.count(F.lit(1)).alias("n_records")))
+    # count per main id first: a hot main id reaches the join as one row
+    per_main = recs.groupBy("main_id").agg(F.count(F.lit(1)).alias("n_records"))
+    return _ta.assign_person(per_main, comps).select("person", "main_id", "n_records")
 
 
 @register("component_members")
