@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, secrets, sharding
+from . import bpe_codec, quality_rules, secrets, sharding, token_output
 from .tables import table
 
 
@@ -18,11 +18,20 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.token_files_report(table(spark, sf_dir, "documents"))
+
+
+def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.codec_report(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op5_sharding, op10_secret_scan)}
+    f.__name__: f for f in (op3_quality_rules, op5_sharding, op7_token_output, op8_bpe_codec,
+                                     op10_secret_scan)}
 
 ORACLES: dict[str, str] = {}
