@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, quality_rules, secrets, sharding, token_output
+from . import bpe_codec, html_text, packing, quality_rules, secrets, sharding, token_output
 from .tables import table
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
@@ -18,6 +22,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_files_report(table(spark, sf_dir, "documents"))
 
@@ -31,7 +39,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op5_sharding, op7_token_output, op8_bpe_codec,
+    f.__name__: f for f in (op2_html_text, op3_quality_rules, op5_sharding, op6_packing, op7_token_output, op8_bpe_codec,
                                      op10_secret_scan)}
 
 ORACLES: dict[str, str] = {}
