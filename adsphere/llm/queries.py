@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, html_text, packing, quality_rules, secrets, sharding, token_output
+from . import bpe_codec, html_text, packing, quality_rules, secrets, sharding, token_output, toxicity
 from .tables import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -39,7 +43,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_html_text, op3_quality_rules, op5_sharding, op6_packing, op7_token_output, op8_bpe_codec,
+    f.__name__: f for f in (op1_toxicity, op2_html_text, op3_quality_rules, op5_sharding, op6_packing, op7_token_output, op8_bpe_codec,
                                      op10_secret_scan)}
 
 ORACLES: dict[str, str] = {}
