@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, html_text, packing, quality_rules, secrets, sharding, token_output, toxicity
+from . import bpe_codec, html_text, minhash, packing, quality_rules, secrets, sharding, token_output, toxicity
 from .tables import table
 
 
@@ -22,6 +22,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_html_text, op3_quality_rules, op5_sharding, op6_packing, op7_token_output, op8_bpe_codec,
-                                     op10_secret_scan)}
+    f.__name__: f for f in (op1_toxicity, op2_html_text, op3_quality_rules, op4_minhash, op5_sharding, op6_packing,
+                                     op7_token_output, op8_bpe_codec, op10_secret_scan)}
 
 ORACLES: dict[str, str] = {}
