@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, html_text, minhash, packing, quality_rules, secrets, sharding, token_output, toxicity
+from . import (
+    bpe_codec,
+    embedding_dedup,
+    html_text,
+    minhash,
+    packing,
+    quality_rules,
+    secrets,
+    sharding,
+    token_output,
+    toxicity,
+)
 from .tables import table
 
 
@@ -42,12 +53,17 @@ def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.codec_report(table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_html_text, op3_quality_rules, op4_minhash, op5_sharding, op6_packing,
-                                     op7_token_output, op8_bpe_codec, op10_secret_scan)}
+                                     op7_token_output, op8_bpe_codec, op9_embedding_dedup,
+                                     op10_secret_scan)}
 
 ORACLES: dict[str, str] = {}
