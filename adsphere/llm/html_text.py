@@ -167,9 +167,8 @@ def page_lines(html: str) -> list[Line]:
     return parser.lines
 
 
-def smoothed_ratios(lines: list[Line]) -> np.ndarray:
-    """Text characters per tag of each line, smoothed by a Gaussian over the lines around it."""
-    ratio = np.array([n / max(t, 1) for _, n, t, _ in lines])
+def smoothed(ratio: np.ndarray) -> np.ndarray:
+    """The ratios under a Gaussian over the lines around each."""
     x = np.arange(-RADIUS, RADIUS + 1)
     kernel = np.exp(-0.5 * (x / SIGMA) ** 2)
     weight = np.convolve(np.ones(len(ratio)), kernel)[RADIUS:len(ratio) + RADIUS]
@@ -178,15 +177,17 @@ def smoothed_ratios(lines: list[Line]) -> np.ndarray:
 
 def content_region(lines: list[Line]) -> list[bool]:
     """Which lines are the article."""
-    ratios = smoothed_ratios(lines)
-    content = ratios >= THRESHOLD * ratios.std()
+    own = np.array([n / max(t, 1) for _, n, t, _ in lines])  # text characters per tag
+    ratios = smoothed(own)
+    threshold = THRESHOLD * ratios.std()
+    content = ratios >= threshold
     size = np.array([n for _, n, _, _ in lines])
     edges = np.flatnonzero(np.diff(np.concatenate([[0], content, [0]]).astype(np.int8)))
     clusters = [(a, b, size[a:b].sum()) for a, b in zip(edges[::2], edges[1::2], strict=True)]
     largest = max(c[2] for c in clusters)
     chosen = [c for c in clusters if c[2] >= MAIN_SHARE * largest]
-    paths = [lines[i][3] for a, b, _ in chosen for i in range(a, b)]
-    shared = os.path.commonprefix(paths)
+    # lines that only their neighbours lift over the threshold do not widen the container
+    shared = os.path.commonprefix([lines[i][3] for a, b, _ in chosen for i in range(a, b) if own[i] >= threshold])
     if shared:
         return [path[:len(shared)] == shared for *_, path in lines]
     return [chosen[0][0] <= i < chosen[-1][1] for i in range(len(lines))]

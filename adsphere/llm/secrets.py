@@ -62,12 +62,15 @@ def _matches(pattern: str, group: int, order: int) -> str:
           ).out)[0])[0]))[0]"""
 
 
+def _at_least(least: int):
+    return lambda span: F.length(span["value"]) >= least
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """(row_id, doc_id, source, base, bare): found spans and bare candidate runs of every text."""
     out = docs.select("doc_id", "source", text_or_empty().alias("t"))
     for i, (kind, pattern, group, least) in enumerate(KINDS):
-        out = out.withColumn(kind, F.filter(F.expr(_matches(pattern, group, i)),
-                                            lambda s, n=least: F.length(s["value"]) >= n))
+        out = out.withColumn(kind, F.filter(F.expr(_matches(pattern, group, i)), _at_least(least)))
     base = F.array_sort(F.concat(*[F.col(k[0]) for k in KINDS]))
     bare = F.filter(F.expr(_matches(BARE, 0, len(KINDS))),
                     lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))

@@ -66,7 +66,8 @@ def rebalance(slot_map: DataFrame, n_shards: int) -> DataFrame:
     largest_first = Window.partitionBy("shard").orderBy(F.col("bytes").desc(), "virtual_slot")
     judged = (slot_map.withColumn("mean", mean)
               .withColumn("run", F.sum("bytes").over(largest_first))
-              .withColumn("stays", (F.col("run") <= F.col("mean")) & (F.col("shard") < n_shards)))
+              .withColumn("stays", ((F.col("run") <= F.col("mean")) | (F.col("bytes") == 0))
+                          & (F.col("shard") < n_shards)))
     # one row holding the n_slots slots (a fixed number): fold the movers into the least loaded shards
     state = judged.groupBy().agg(
         F.collect_list(F.when(F.col("stays"), F.struct("shard", "bytes"))).alias("kept"),

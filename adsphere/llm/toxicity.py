@@ -189,11 +189,14 @@ def without_copies(word_sets: list[set[str]]) -> list[int]:
     holders: dict[int, list[int]] = {}
     for i, words in enumerate(word_sets):
         own = sorted(zlib.crc32(w.encode()) for w in words if len(w) > 5)[:COPY_HASHES]
+        least = COPY_SHARED
+        if len(own) < COPY_HASHES:  # too few to tell: only an equal set of words is a copy
+            own, least = [zlib.crc32(" ".join(sorted(words)).encode())], 1
         shared: dict[int, int] = {}
         for h in own:
             for j in holders.get(h, ()):
                 shared[j] = shared.get(j, 0) + 1
-        if own and max(shared.values(), default=0) >= min(COPY_SHARED, len(own)):
+        if max(shared.values(), default=0) >= least:
             continue
         kept.append(i)
         for h in own:
