@@ -10,8 +10,9 @@ Scale notes
 -----------
 * ``groupBy(node).min`` aggregates partially on the map side, so a hub id
   (one identifier shared by a third of all records) never concentrates its
-  edge list in one task; the edge ⋈ min join on a hub is split by AQE's skew
-  join.
+  edge list in one task.  The minimums are written as a table before the
+  edges are joined to them: AQE splits a hub's partition only where both
+  inputs of the join are plain shuffles, with no aggregation in between.
 * Each round is cut by writing its edges as a Parquet table under the folder
   named by ``spark.checkpoint.dir`` — plans stay short and a lost executor
   recomputes at most one round.
@@ -28,8 +29,8 @@ from ..session import ensure_checkpoint_dir, materialize
 def _large_star(edges: DataFrame) -> DataFrame:
     sym = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).unionByName(
         edges.select(F.col("dst").alias("u"), F.col("src").alias("v")))
-    mins = sym.groupBy("u").agg(F.min("v").alias("mn")).select(
-        "u", F.least(F.col("u"), F.col("mn")).alias("m"))
+    mins = materialize(sym.groupBy("u").agg(F.min("v").alias("mn")).select(
+        "u", F.least(F.col("u"), F.col("mn")).alias("m")), "cc-mins")
     # duplicates are removed by the small-star step that always follows
     return (sym.where(F.col("v") > F.col("u")).join(mins, "u")
             .select(F.col("v").alias("src"), F.col("m").alias("dst")))
@@ -37,7 +38,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     oriented = edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
-    mins = oriented.groupBy("u").agg(F.min("v").alias("m"))
+    mins = materialize(oriented.groupBy("u").agg(F.min("v").alias("m")), "cc-mins")
     linked = oriented.join(mins, "u").select(F.col("v").alias("src"), F.col("m").alias("dst"))
     own = mins.select(F.col("u").alias("src"), F.col("m").alias("dst"))
     return linked.unionByName(own).where(F.col("src") != F.col("dst")).distinct()
@@ -67,13 +68,14 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     not in the output; callers add them with ``coalesce(component, id)``.
     """
     ensure_checkpoint_dir(edges.sparkSession)
-    cur = (edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
+    cur = materialize(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
            .where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
            .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-           .distinct())
+           .distinct(), "cc-edges")
     for _ in range(max_rounds):
         # each round reads the previous round's table: lineage never grows
-        cur = materialize(_small_star(_large_star(cur)), "cc-round")
+        wide = materialize(_large_star(cur), "cc-round")
+        cur = materialize(_small_star(wide), "cc-round")
         if _is_star_forest(cur):
             break
     else:

@@ -23,6 +23,7 @@ METRIC_COLUMNS = ("org_num", "valid_num", "ad_num", "bid_num", "bid_success_num"
                   "bid_success_rat", "show_num", "click_num", "click_rat",
                   "media_show_num", "media_click_num", "consumption_number", "cost_number")
 
+PRICE_SCALE = 10
 
 
 def _flags():
@@ -37,13 +38,13 @@ def _flags():
 def _money(cond: Column, column: str) -> Column:
     """Exact, order-independent money sum, reported in thousands as double.
 
-    Amounts are summed as whole cents in a ``long`` — exact like a decimal
-    sum, but with a primitive aggregation buffer (a ``decimal(28,2)`` buffer
-    is BigDecimal-backed).  ``cents / 100`` then ``/ 1000`` rounds the same
-    way as casting the decimal total to double.
+    Prices are summed as decimals with ``PRICE_SCALE`` digits behind the point, far below
+    any price's precision, so nothing is cut per row and the total does not depend on the
+    order of the rows; only the total becomes a double.
     """
-    cents = F.sum(F.when(cond, F.round(F.col(column) * F.lit(100.0)).cast("long")))
-    return F.coalesce(cents, F.lit(0).cast("long")).cast("double") / F.lit(100.0) / F.lit(1000.0)
+    price = F.col(column).cast(f"decimal(28,{PRICE_SCALE})")
+    total = F.sum(F.when(cond, price))
+    return F.coalesce(total.cast("double"), F.lit(0.0)) / F.lit(1000.0)
 
 
 def funnel_aggregates() -> list[Column]:

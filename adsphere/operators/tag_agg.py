@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .components import connected_components
 
 DEFAULT_DECAY = 0.9  # history weight coefficient (configurable)
@@ -115,5 +116,7 @@ def rounded(tags: DataFrame) -> DataFrame:
 def component_members(components: DataFrame) -> DataFrame:
     """A12 in long form: (component, member, n_members) — the group size comes
     from a partial-aggregated count joined back, not from collecting a list."""
-    sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("n_members"))
+    components = materialize(components, "component-ids")
+    # stored, so that both join inputs are plain shuffles and AQE can split a hub's component
+    sizes = materialize(components.groupBy("component").agg(F.count(F.lit(1)).alias("n_members")), "component-sizes")
     return components.select("component", F.col("id").alias("member")).join(sizes, "component")

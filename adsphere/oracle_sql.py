@@ -39,8 +39,8 @@ FUNNEL_SELECT = f"""
   count(*) FILTER (WHERE requestmode = 3 AND iseffective = 1) AS click_num,
   count(*) FILTER (WHERE requestmode = 2 AND iseffective = 1 AND isbilling = 1) AS media_show_num,
   count(*) FILTER (WHERE requestmode = 3 AND iseffective = 1 AND isbilling = 1) AS media_click_num,
-  CAST(coalesce(sum(CASE WHEN {_PAID} THEN CAST(winprice AS DECIMAL(18,2)) END), 0) AS DOUBLE) / 1000.0 AS consumption_number,
-  CAST(coalesce(sum(CASE WHEN {_PAID} THEN CAST(adpayment AS DECIMAL(18,2)) END), 0) AS DOUBLE) / 1000.0 AS cost_number"""
+  CAST(coalesce(sum(CASE WHEN {_PAID} THEN CAST(winprice AS DECIMAL(28,10)) END), 0) AS DOUBLE) / 1000.0 AS consumption_number,
+  CAST(coalesce(sum(CASE WHEN {_PAID} THEN CAST(adpayment AS DECIMAL(28,10)) END), 0) AS DOUBLE) / 1000.0 AS cost_number"""
 
 FUNNEL_OUTER = """org_num, valid_num, ad_num, bid_num, bid_success_num,
   bid_success_num / nullif(bid_num, 0) AS bid_success_rat, show_num, click_num,
