@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle_sql
+from .functions.codec import decode_pairs as _decode
 from .functions.codec import encode_pairs as _encode
 from .functions.geo import geohash8 as _geohash8
 from .functions.tags import ID_COLUMNS as _IDC
@@ -26,12 +27,16 @@ from .plans import ods as _ods
 from .plans import profile as _pf
 from .plans import reports
 from .plans import tagging as _tg
+from .session import materialize as _materialize
 from .sources import snapshots as _snap
+from .sources.adlog import AD_LOG_COLUMNS as _FIXTURE_COLUMNS
+from .sources.adlog import HISTORY_DS as _HDS
 from .sources.adlog import TODAY_DS as _TDS
 from .sources.adlog import ad_log as _ad_log
 from .sources.dims import app_dictionary as _app_dict
 from .sources.dims import geocode_responses as _geocode
 from .sources.dims import ip_ranges as _ip_ranges
+from .sources.jsonlog import AD_LOG_FIELDS as _LOG_FIELDS
 from .sources.tables import read_table as _read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,9 +83,16 @@ def region_city_split(spark, sf_dir):
     return ods.groupBy("province", "city").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _full_ods(spark, sf_dir):
+    """All 89 columns; coordinates, province and city come from the IP join."""
+    columns = [n for n, _ in _LOG_FIELDS if n in _FIXTURE_COLUMNS]
+    ods = _ods.full_ods(_ad_log(spark, sf_dir, columns), _ip_ranges(spark, sf_dir))
+    return _as_double(ods)
+
+
 @register("ods_build")
 def ods_build(spark, sf_dir):
-    return _ods.build_ods(spark, sf_dir)
+    return _full_ods(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- business areas
@@ -120,10 +132,14 @@ def area_library(spark, sf_dir):
     return _ba.area_library(_coord_areas(spark, sf_dir))
 
 
+def _stored_library(spark, sf_dir):
+    return _materialize(_ba.area_library(_coord_areas(spark, sf_dir)), "area-library")
+
+
 @register("ods_with_areas")
 def ods_with_areas(spark, sf_dir):
     ods = _ad_log(spark, sf_dir, ["ip", "mac", "androidid", "requestmode", *_COORDS])
-    lib = _ba.area_library(_coord_areas(spark, sf_dir))
+    lib = _stored_library(spark, sf_dir)
     return _ba.with_areas(ods, lib).select("ip", "mac", "androidid", "requestmode", "geohash", "areas")
 
 
@@ -131,7 +147,7 @@ def ods_with_areas(spark, sf_dir):
 def area_lookup(spark, sf_dir):
     cells = (_ba.has_coordinates(_ad_log(spark, sf_dir, _COORDS))
              .select(_geohash8(F.col("latitude"), F.col("longitude")).alias("geohash")).distinct())
-    return _ba.lookup_areas(cells, _ba.area_library(_coord_areas(spark, sf_dir)))
+    return _ba.lookup_areas(cells, _stored_library(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- tags and identity
@@ -168,12 +184,12 @@ def identity_edges(spark, sf_dir):
 
 @register("identity_components")
 def identity_components(spark, sf_dir):
-    return _all_components(_id_records(spark, sf_dir))
+    return _all_components(_materialize(_id_records(spark, sf_dir), "id-records"))
 
 
 @register("identity_records")
 def identity_records(spark, sf_dir):
-    recs = _id_records(spark, sf_dir)
+    recs = _materialize(_id_records(spark, sf_dir), "id-records")
     comps = _cc(_ta.identity_edges(recs))
     # count per main id first: a hot main id reaches the join as one row
     per_main = recs.groupBy("main_id").agg(F.count(F.lit(1)).alias("n_records"))
@@ -182,7 +198,7 @@ def identity_records(spark, sf_dir):
 
 @register("component_members")
 def component_members(spark, sf_dir):
-    return _ta.component_members(_all_components(_id_records(spark, sf_dir)))
+    return _ta.component_members(_all_components(_materialize(_id_records(spark, sf_dir), "id-records")))
 
 
 @register("tag_record")
@@ -194,7 +210,7 @@ def tag_record(spark, sf_dir):
 
 def _family_vocabulary(families):
     def run(spark, sf_dir):
-        recs = _tg.tagged_records(_tg.tag_inputs(spark, sf_dir), families)
+        recs = _tg.records_for(spark, sf_dir, families)
         return recs.select(F.explode("tags").alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
     return run
 
@@ -208,25 +224,25 @@ for _name, _fams in {"tag_app": ["app"], "tag_device": ["device"], "tag_region":
 @register("tag_agg")
 def tag_agg(spark, sf_dir):
     tags, _ = _tg.today_profile(spark, sf_dir)
-    return _ta.rounded(tags)
+    return _ta.as_doubles(tags)
 
 
 @register("history_tags")
 def history_tags(spark, sf_dir):
     tags, _ = _tg.history_profile(spark, sf_dir)
-    return _ta.rounded(tags)
+    return _ta.as_doubles(tags)
 
 
 @register("tag_decay")
 def tag_decay(spark, sf_dir):
     tags, _ = _tg.history_profile(spark, sf_dir)
-    return _ta.rounded(_ta.decay(tags))
+    return _ta.as_doubles(_ta.decay(tags))
 
 
 @register("tag_merge")
 def tag_merge(spark, sf_dir):
     tags, _ = _tg.merged_profile(spark, sf_dir)
-    return _ta.rounded(tags)
+    return _ta.as_doubles(tags)
 
 
 @register("dict_lookup")
@@ -238,34 +254,52 @@ def dict_lookup(spark, sf_dir):
 # ---------------------------------------------------------------- profile export and snapshots
 
 
-def _merged_rounded(spark, sf_dir):
+def _merged(spark, sf_dir):
     tags, _ = _tg.merged_profile(spark, sf_dir)
-    return _ta.rounded(tags)
+    return _ta.as_doubles(tags)
 
 
-@register("tag_codec")
-def tag_codec(spark, sf_dir):
-    tags = _merged_rounded(spark, sf_dir)
-    return tags.groupBy("person").agg(
+def _texts(spark, sf_dir):
+    # one row per person: the text form is a person's row in the interchange format
+    return _merged(spark, sf_dir).groupBy("person").agg(
         _encode(F.collect_list(F.struct("tag", "weight"))).alias("tags"),
         F.count(F.lit(1)).alias("n_tags"))
 
 
+@register("tag_codec")
+def tag_codec(spark, sf_dir):
+    return _texts(spark, sf_dir)
+
+
+@register("tag_decode")
+def tag_decode(spark, sf_dir):
+    """G15 then G16: the encoded texts, stored, read back and decoded."""
+    stored = _materialize(_texts(spark, sf_dir), "tag-texts")
+    return stored.select("person", F.explode(_decode(F.col("tags"))).alias("p")).select("person", "p.tag", "p.weight")
+
+
 @register("profile_classify")
 def profile_classify(spark, sf_dir):
-    return _pf.classify_tags(_merged_rounded(spark, sf_dir))
+    return _pf.classify_tags(_merged(spark, sf_dir)).where(F.col("field").isNotNull())
 
 
 @register("profile_docs")
 def profile_docs(spark, sf_dir):
-    fields = _pf.profile_fields(_pf.classify_tags(_merged_rounded(spark, sf_dir)))
-    return _pf.field_summary(fields)
+    return _pf.document_texts(_pf.profile_rows(_pf.classify_tags(_merged(spark, sf_dir))))
 
 
 @register("snapshot_read")
 def snapshot_read(spark, sf_dir):
-    ods = _ods.build_ods(spark, sf_dir, ["ip", "appid", "requestmode", "province", "city"], with_ds=True)
-    return ods.where(F.col("ds") == _TDS).select("ip", "appid", "requestmode", "province", "city", "ds")
+    """Both days written as ``ds`` partitions, today's read back."""
+    root = _tg.warehouse(spark)
+    for ds in (_HDS, _TDS):
+        ods = _ods.build_ods(spark, sf_dir, ["ip", "appid", "requestmode"], ds=ds)
+        ods = _ods.enrich(ods, _ip_ranges(spark, sf_dir).drop("longitude", "latitude")).select(*_SNAP_COLUMNS)
+        _snap.write_snapshot(ods, root, "ODS", ds)
+    return _snap.read_snapshot(spark, root, "ODS", _TDS, ods.schema).withColumn("ds", F.lit(_TDS))
+
+
+_SNAP_COLUMNS = ["ip", "appid", "requestmode", "province", "city"]
 
 
 @register("sink_key_check")
@@ -275,7 +309,7 @@ def sink_key_check(spark, sf_dir):
 
 # ---------------------------------------------------------------- skew toolkit
 
-HOT_ORDER_COUNT = 15  # a customer with this many orders is a hot key (FIXTURES §3.3)
+HOT_SHARE = 0.001  # a customer with this share of all orders is a hot key: at most 1,000 of them
 SALT_BUCKETS = 10
 
 
@@ -289,12 +323,12 @@ def _customers(spark, sf_dir):
 
 @register("skew_hot_keys")
 def skew_hot_keys(spark, sf_dir):
-    return _sk.hot_keys(_orders(spark, sf_dir), "o_custkey", min_count=HOT_ORDER_COUNT)
+    return _sk.hot_keys(_orders(spark, sf_dir), "o_custkey", min_share=HOT_SHARE)
 
 
 @register("skew_filter_join")
 def skew_filter_join(spark, sf_dir):
-    recs = _id_records(spark, sf_dir)
+    recs = _materialize(_id_records(spark, sf_dir), "id-records")
     comps = _all_components(recs)
     log = _ad_log(spark, sf_dir, ["androidid", "mac"])
     out = _sk.filter_null_keys_join(log, comps, "androidid", "id", preserve=True)
@@ -314,15 +348,16 @@ def skew_two_phase_count(spark, sf_dir):
 @register("skew_isolate_join")
 def skew_isolate_join(spark, sf_dir):
     orders = _orders(spark, sf_dir)
-    hot = _sk.hot_keys(orders, "o_custkey", min_count=HOT_ORDER_COUNT)
+    hot = _materialize(_sk.hot_keys(orders, "o_custkey", min_share=HOT_SHARE), "hot-keys")
+    # max_rows=0: run the salted join itself, whatever the size of the right side
     return _sk.isolate_hot_keys_join(orders, _customers(spark, sf_dir), "o_custkey", hot,
-                                     ["o_orderkey"], SALT_BUCKETS)
+                                     ["o_orderkey"], SALT_BUCKETS, max_rows=0)
 
 
 @register("skew_expand_join")
 def skew_expand_join(spark, sf_dir):
     return _sk.expand_join(_orders(spark, sf_dir), _customers(spark, sf_dir), "o_custkey",
-                           ["o_orderkey"], SALT_BUCKETS)
+                           ["o_orderkey"], SALT_BUCKETS, max_rows=0)
 
 
 def oracle() -> dict[str, str]:

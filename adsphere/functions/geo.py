@@ -13,7 +13,9 @@ GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
 def _cell(v: Column, lo: float, span: float, bits: int) -> Column:
     idx = F.floor((v.cast("double") - F.lit(lo)) / F.lit(span) * F.lit(float(1 << bits)))
-    return F.least(F.greatest(idx, F.lit(0).cast("bigint")), F.lit((1 << bits) - 1).cast("bigint"))
+    # least and greatest skip NULLs, so a missing coordinate has to be kept missing
+    return F.when(idx.isNotNull(), F.least(F.greatest(idx, F.lit(0).cast("bigint")),
+                                           F.lit((1 << bits) - 1).cast("bigint")))
 
 
 def geohash(latitude: Column, longitude: Column, precision: int = 8) -> Column:

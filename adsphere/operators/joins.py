@@ -25,16 +25,24 @@ def measure(df: DataFrame):
     return r["n"], r["b"] or 0
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether ``df`` is below both limits; ``max_rows=0`` answers without a measuring job."""
+    if max_rows <= 0:
+        return False
+    n, b = measure(df)
+    return n <= max_rows and b <= max_bytes
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast ``df`` only after measuring it; otherwise leave a shuffle join.
 
-    The measurement is one cheap job over a dimension.  Beyond either limit
-    the plain frame is returned, and the planner uses a sort-merge join (AQE
-    can still switch to broadcast at run time and split skewed partitions).
+    The measurement runs ``df``'s plan once, so pass a source table, a stored
+    one, or a cheap derivation of such.  Beyond either limit the plain frame is
+    returned, and the planner uses a sort-merge join (AQE can still switch to
+    broadcast at run time and split skewed partitions).
     """
-    n, b = measure(df)
-    return F.broadcast(df) if n <= max_rows and b <= max_bytes else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def bucket_ranges(ranges: DataFrame, start: str, end: str, bits: int = 16,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import checked_broadcast
+from .joins import BROADCAST_MAX_ROWS, checked_broadcast, fits_broadcast
 
 SALT = "_salt"
 
@@ -75,25 +75,36 @@ def two_phase_count(df: DataFrame, key: str, salt_columns: list[str], buckets: i
 
 
 def isolate_hot_keys_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame,
-                          salt_columns: list[str], buckets: int = 10) -> DataFrame:
-    """Hot keys join a ``buckets``-fold copy of their right rows on (key, salt);
-    the rest join normally; the halves are unioned (the plain left join)."""
-    hot_keys_df = checked_broadcast(hot.select(key).distinct())
-    left_hot = left.join(hot_keys_df, key, "left_semi")
-    left_cold = left.join(hot_keys_df, key, "left_anti")
-    right_hot = replicate(right.join(hot_keys_df, key, "left_semi"), buckets)
-    right_cold = right.join(hot_keys_df, key, "left_anti")
-    hot_joined = (left_hot.withColumn(SALT, salt(salt_columns, buckets))
-                  .join(right_hot, [key, SALT], "left").drop(SALT))
-    cold_joined = left_cold.join(right_cold, key, "left")
-    return hot_joined.unionByName(cold_joined)
+                          salt_columns: list[str], buckets: int = 10, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """A left join in which only hot keys are salted.
+
+    ``hot`` must be small and stored (:func:`hot_keys` by share).  Hot left rows get a salt, hot
+    right rows a copy per salt, all others salt 0; one shuffle join on (key, salt) then serves
+    both.  A right side that passes the broadcast check is broadcast as it is instead.
+    """
+    if fits_broadcast(right, max_rows):
+        return left.join(F.broadcast(right), key, "left")
+    flags = checked_broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
+    is_hot = F.col("_hot").isNotNull()
+    salted = (left.join(flags, key, "left")
+              .withColumn(SALT, F.when(is_hot, salt(salt_columns, buckets)).otherwise(F.lit(0).cast("bigint"))).drop("_hot"))
+    copies = F.when(is_hot, F.lit(buckets - 1)).otherwise(F.lit(0))
+    spread = (right.join(flags, key, "left")
+              .withColumn(SALT, F.explode(F.sequence(F.lit(0), copies).cast("array<bigint>"))).drop("_hot"))
+    return salted.join(spread.hint("merge"), [key, SALT], "left").drop(SALT)
 
 
 def expand_join(left: DataFrame, right: DataFrame, key: str, salt_columns: list[str],
-                buckets: int = 10) -> DataFrame:
-    """Salt every left row, replicate the right side ``buckets`` times, left join."""
+                buckets: int = 10, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Salt every left row, replicate the right side ``buckets`` times, left join.
+
+    A right side that passes the broadcast check is broadcast as it is: a broadcast join
+    shuffles nothing, so there is no hot partition to salt.
+    """
+    if fits_broadcast(right, max_rows):
+        return left.join(F.broadcast(right), key, "left")
     return (left.withColumn(SALT, salt(salt_columns, buckets))
-            .join(replicate(right, buckets), [key, SALT], "left").drop(SALT))
+            .join(replicate(right, buckets).hint("merge"), [key, SALT], "left").drop(SALT))
 
 
 def rows_per_partition(df: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ collected into one row.  Weights are summed with partial aggregation.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,9 @@ from ..session import materialize
 from .components import connected_components
 
 DEFAULT_DECAY = 0.9  # history weight coefficient (configurable)
-WEIGHT_DIGITS = 6
+# Weights are decimals: sums do not depend on the order of rows, a decayed weight keeps 18
+# digits, and only what leaves the pipeline becomes a double.
+WEIGHT = "decimal(28,18)"
 
 
 def identity_edges(records: DataFrame) -> DataFrame:
@@ -32,7 +36,7 @@ def assign_person(records: DataFrame, components: DataFrame, key: str = "main_id
 
 def sum_tags(tagged: DataFrame) -> DataFrame:
     """A10: (person, tag, weight) summed; input rows carry their own weight."""
-    return tagged.groupBy("person", "tag").agg(F.sum("weight").alias("weight"))
+    return tagged.groupBy("person", "tag").agg(F.sum("weight").cast(WEIGHT).alias("weight"))
 
 
 def tags_per_main_id(records: DataFrame) -> DataFrame:
@@ -42,7 +46,7 @@ def tags_per_main_id(records: DataFrame) -> DataFrame:
     one row per distinct tag (partial aggregation), not one row per record.
     """
     return (records.select(F.col("main_id").alias("person"), F.explode("tags").alias("tag"))
-            .groupBy("person", "tag").agg(F.count(F.lit(1)).cast("double").alias("weight")))
+            .groupBy("person", "tag").agg(F.count(F.lit(1)).cast(WEIGHT).alias("weight")))
 
 
 def relabel(df: DataFrame, components: DataFrame) -> DataFrame:
@@ -66,7 +70,8 @@ def person_profile(records: DataFrame):
 
 def decay(tags: DataFrame, coefficient: float = DEFAULT_DECAY) -> DataFrame:
     """Every history weight times the coefficient."""
-    return tags.withColumn("weight", F.col("weight") * F.lit(float(coefficient)))
+    exact = F.col("weight").cast(WEIGHT) * F.lit(Decimal(str(coefficient)))
+    return tags.withColumn("weight", exact.cast(WEIGHT))
 
 
 def merge_history(history_tags: DataFrame, history_ids: DataFrame, today_records: DataFrame,
@@ -103,14 +108,15 @@ def merge_in_one_pass(records: DataFrame, today_ds: str, coefficient: float = DE
                                today.alias("_today"))
                 .groupBy("person", "tag")
                 .agg(F.count_if(F.col("_today")).alias("t"), F.count_if(~F.col("_today")).alias("h"))
-                .select("person", "tag", (F.col("t").cast("double")
-                                          + F.lit(float(coefficient)) * F.col("h").cast("double")).alias("weight")))
+                .select("person", "tag", (F.col("t").cast(WEIGHT) + (
+                    F.col("h").cast(WEIGHT) * F.lit(Decimal(str(coefficient)))).cast(WEIGHT)).cast(WEIGHT).alias("weight")))
     ids = records.select(F.col("main_id").alias("person"), F.explode("ids").alias("id")).distinct()
     return sum_tags(relabel(per_main, comps)), relabel(ids, comps).distinct()
 
 
-def rounded(tags: DataFrame) -> DataFrame:
-    return tags.withColumn("weight", F.round(F.col("weight"), WEIGHT_DIGITS))
+def as_doubles(tags: DataFrame) -> DataFrame:
+    """Weights as doubles, for output."""
+    return tags.withColumn("weight", F.col("weight").cast("double"))
 
 
 def component_members(components: DataFrame) -> DataFrame:

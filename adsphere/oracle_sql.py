@@ -10,6 +10,8 @@ re-expressed here in SQL.
 from __future__ import annotations
 
 from .sources.adlog import AD_LOG_EXPRESSIONS, DS_EXPRESSION, HISTORY_DS, TODAY_DS
+from .sources.dims import RANGE_LATITUDE, RANGE_LONGITUDE
+from .sources.jsonlog import AD_LOG_FIELDS
 
 
 def ad_log_cte(name: str = "ad_log") -> str:
@@ -78,7 +80,8 @@ IP_RANGES_CTE = """ip_ranges AS (
         CAST(16 + n_nationkey AS BIGINT) * 16777216 + b.hi AS end_ip,
         CASE WHEN b.j < 3 THEN 'P' || n_nationkey || '省C' || n_nationkey || '_' || b.j
              ELSE 'M' || n_nationkey END AS country,
-        CASE WHEN b.j = 2 THEN ' CZ88.NET' ELSE 'ISP' || b.j END AS area
+        CASE WHEN b.j = 2 THEN ' CZ88.NET' ELSE 'ISP' || b.j END AS area,
+        """ + RANGE_LONGITUDE + """ AS longitude, """ + RANGE_LATITUDE + """ AS latitude
  FROM (SELECT n_nationkey, unnest([{'j': 0, 'lo': 0, 'hi': 255}, {'j': 1, 'lo': 256, 'hi': 1023},
                                    {'j': 2, 'lo': 1100, 'hi': 4095}, {'j': 3, 'lo': 4096, 'hi': 16777215}]) AS b
        FROM nation WHERE n_nationkey <> 24) t)"""
@@ -113,19 +116,34 @@ def _ods_cte() -> str:
             f" FROM ad_log l LEFT JOIN ip_ranges r ON {ip_num_sql('l.ip')} BETWEEN r.start_ip AND r.end_ip)")
 
 
+_DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE"}
+
+
+def _full_ods_cte() -> str:
+    """All 85 log fields (NULL where the fixture has none) and the four location columns."""
+    fields = ", ".join(f"l.{n}" if n in AD_LOG_EXPRESSIONS else f"CAST(NULL AS {_DUCK_TYPES[t.simpleString()]}) AS {n}"
+                       for n, t in AD_LOG_FIELDS)
+    country = "coalesce(r.country, '未知国家')"
+    return (f"full_ods AS (SELECT {fields}, CAST(r.longitude AS DOUBLE) AS longitude, CAST(r.latitude AS DOUBLE) AS latitude,\n"
+            f"  CASE WHEN l.ip IS NOT NULL AND l.ip <> '' THEN {province_sql(country)} END AS province,\n"
+            f"  CASE WHEN l.ip IS NOT NULL AND l.ip <> '' THEN {city_sql(country)} END AS city\n"
+            f" FROM ad_log l LEFT JOIN ip_ranges r ON {ip_num_sql('l.ip')} BETWEEN r.start_ip AND r.end_ip)")
+
+
 def ip_queries() -> dict[str, str]:
     base = f"WITH {ad_log_cte()}, {IP_RANGES_CTE}"
     geo = (f"{base}, ips AS (SELECT DISTINCT ip FROM ad_log WHERE ip IS NOT NULL AND ip <> ''),\n"
            f" g AS (SELECT ip, {ip_num_sql('ip')} AS ip_num, coalesce(r.country, '未知国家') AS country,\n"
-           f"   coalesce(CASE WHEN trim(r.area) = 'CZ88.NET' THEN '本机或本网络' ELSE r.area END, '未知地区') AS area\n"
+           f"   coalesce(CASE WHEN trim(r.area) = 'CZ88.NET' THEN '本机或本网络' ELSE r.area END, '未知地区') AS area,\n"
+           "   CAST(r.longitude AS DOUBLE) AS longitude, CAST(r.latitude AS DOUBLE) AS latitude\n"
            f"  FROM ips LEFT JOIN ip_ranges r ON {ip_num_sql('ip')} BETWEEN r.start_ip AND r.end_ip)\n")
     return {
         "ip_distinct": f"WITH {ad_log_cte()} SELECT DISTINCT ip FROM ad_log WHERE ip IS NOT NULL AND ip <> ''",
         "ip_geo": geo + f"SELECT ip, ip_num, country, area, {province_sql('country')} AS province, "
-                        f"{city_sql('country')} AS city FROM g",
+                        f"{city_sql('country')} AS city, longitude, latitude FROM g",
         "region_city_split": (f"{base}, {_ods_cte()}\n SELECT province, city, count(*) AS n_rows "
                               "FROM ods GROUP BY province, city"),
-        "ods_build": f"{base}, {_ods_cte()}\n SELECT * FROM ods",
+        "ods_build": f"{base}, {_full_ods_cte()}\n SELECT * FROM full_ods",
     }
 
 
@@ -157,25 +175,31 @@ geocode AS (
              || '","id":"' || c || '"},{"name":"BA' || (c % 7) || '","id":"' || c || '"}]}}}' END AS response
  FROM geo_first)"""
 
-COORD_AREAS_CTE = """coords AS (SELECT DISTINCT latitude, longitude FROM ad_log
+COORD_AREAS_CTE = """coords AS (SELECT DISTINCT @KEYS@latitude, longitude FROM SOURCE
    WHERE longitude IS NOT NULL AND latitude IS NOT NULL),
 coord_names AS (
- SELECT c.latitude, c.longitude,
+ SELECT @KEYS@c.latitude, c.longitude,
    list_filter(CASE WHEN json_valid(g.response)
         THEN json_extract_string(g.response, '$.regeocode.addressComponent.businessAreas[*].name') END,
         lambda x: x IS NOT NULL) AS names
  FROM coords c LEFT JOIN geocode g ON c.longitude = g.longitude AND c.latitude = g.latitude),
 coord_areas AS (
- SELECT latitude, longitude, GEOHASH AS geohash, coalesce(array_to_string(names, ','), '') AS areas, names
+ SELECT @KEYS@latitude, longitude, GEOHASH AS geohash, coalesce(array_to_string(names, ','), '') AS areas, names
  FROM coord_names),
 library AS (
- SELECT geohash, string_agg(name, ',' ORDER BY name) AS areas FROM (
-   SELECT DISTINCT geohash, unnest(names) AS name FROM coord_areas WHERE areas <> '') t
- GROUP BY geohash)"""
+ SELECT @KEYS@geohash, string_agg(name, ',' ORDER BY name) AS areas FROM (
+   SELECT DISTINCT @KEYS@geohash, unnest(names) AS name FROM coord_areas WHERE areas <> '') t
+ GROUP BY @KEYS@geohash)"""
+
+
+def coord_areas_cte(source: str = "ad_log", by: str = "") -> str:
+    """Coordinates, their areas and the area library of ``source``, per column ``by`` if given."""
+    return (COORD_AREAS_CTE.replace("@KEYS@", f"{by}, " if by else "").replace("SOURCE", source)
+            .replace("GEOHASH", geohash_sql("latitude", "longitude")))
 
 
 def area_queries() -> dict[str, str]:
-    cte = COORD_AREAS_CTE.replace("GEOHASH", geohash_sql("latitude", "longitude"))
+    cte = coord_areas_cte()
     base = f"WITH {ad_log_cte()}, {GEOCODE_CTE}, {cte}"
     return {
         "coords_distinct": (f"WITH {ad_log_cte()} SELECT DISTINCT CAST(latitude AS DOUBLE) AS latitude, "
@@ -238,13 +262,13 @@ def _ods_ds_cte() -> str:
 
 def tag_base(families=None) -> str:
     fams = list(families) if families else list(FAMILY_SQL)
-    cte = COORD_AREAS_CTE.replace("GEOHASH", geohash_sql("latitude", "longitude"))
+    cte = coord_areas_cte("ods", "ds")
     tags = "list_distinct(list_concat(" + ", ".join(FAMILY_SQL[f] for f in fams) + "))"
     return (f"WITH {ad_log_cte()}, {IP_RANGES_CTE}, {_ods_ds_cte()}, {GEOCODE_CTE}, {cte}, {DICT_CTE},\n"
             f"inp AS (SELECT o.*, lib.areas, ad.name AS app_dict_name,\n"
             f"   coalesce(dc.code, 'D00010004') AS client_code, coalesce(di.code, 'D00030004') AS operator_code,\n"
             f"   coalesce(dn.code, 'D00020005') AS network_code\n"
-            f" FROM ods o LEFT JOIN library lib ON {geohash_sql('o.latitude', 'o.longitude')} = lib.geohash\n"
+            f" FROM ods o LEFT JOIN library lib ON {geohash_sql('o.latitude', 'o.longitude')} = lib.geohash AND o.ds = lib.ds\n"
             f" LEFT JOIN app_dict ad ON o.appid = ad.appid\n"
             f" LEFT JOIN device_dict dc ON CAST(coalesce(o.client, 0) AS VARCHAR) = dc.k\n"
             f" LEFT JOIN device_dict di ON o.ispname = di.k\n"
@@ -276,8 +300,8 @@ def identity_base() -> str:
 
 def merged_base() -> str:
     return (f"{tag_base()}, {components_cte('recs')},\n"
-            "merged AS (SELECT person, tag, round(count(*) FILTER (WHERE ds = '" + TODAY_DS + "') * 1.0e0 + "
-            "0.9e0 * count(*) FILTER (WHERE ds = '" + HISTORY_DS + "'), 6) AS weight FROM ("
+            "merged AS (SELECT person, tag, (10 * count(*) FILTER (WHERE ds = '" + TODAY_DS + "') + "
+            "9 * count(*) FILTER (WHERE ds = '" + HISTORY_DS + "')) / 10.0e0 AS weight FROM ("
             "SELECT r.ds, coalesce(c.component, r.main_id) AS person, unnest(r.tags) AS tag FROM recs r "
             "LEFT JOIN comp c ON r.main_id = c.id) x GROUP BY person, tag)")
 
@@ -313,20 +337,15 @@ _FIELDS = ("app", "deviceModel", "deviceType", "client", "sex", "age", "business
 
 def profile_queries() -> dict[str, str]:
     mb = merged_base()
-    fields = ", ".join(f"'{f}'" for f in _FIELDS)
+    docs = ", ".join(f"coalesce(string_agg('(' || value || ',' || CAST(weight AS VARCHAR) || ')', ',' ORDER BY value, weight) "
+                     f"FILTER (WHERE field = '{f}'), '') AS \"{f}\"" for f in _FIELDS)
     return {
         "tag_codec": (f"{mb} SELECT person, string_agg('(' || tag || ',' || CAST(weight AS VARCHAR) || ')', ',' "
                       "ORDER BY tag) AS tags, count(*) AS n_tags FROM merged GROUP BY person"),
         "profile_classify": (f"{mb}, {classify_sql()} SELECT person, field, value, weight FROM classified "
                              "WHERE field IS NOT NULL"),
-        "profile_docs": (f"{mb}, {classify_sql()},\n"
-                         "per_field AS (SELECT person, field, count(*) AS n_values, string_agg('(' || value || ',' "
-                         "|| CAST(weight AS VARCHAR) || ')', ',' ORDER BY value, weight) AS vals "
-                         "FROM classified WHERE field IS NOT NULL GROUP BY person, field),\n"
-                         f"people AS (SELECT person, unnest([{fields}]) AS field FROM "
-                         "(SELECT DISTINCT person FROM classified WHERE field IS NOT NULL) d)\n"
-                         "SELECT p.person, p.field, coalesce(x.n_values, 0) AS n_values, coalesce(x.vals, '') AS \"values\" "
-                         "FROM people p LEFT JOIN per_field x ON x.person = p.person AND x.field = p.field"),
+        "profile_docs": (f"{mb}, {classify_sql()} SELECT person AS _id, {docs} FROM classified GROUP BY person"),
+        "tag_decode": f"{mb} SELECT person, tag, weight FROM merged",
     }
 
 
@@ -356,11 +375,11 @@ def tag_queries() -> dict[str, str]:
                               "SELECT component, member, count(*) OVER (PARTITION BY component) AS n_members FROM m"),
         "tag_record": (f"{tag_base()} SELECT main_id, tag, count(*) AS n FROM (SELECT main_id, unnest(tags) AS tag FROM recs) t GROUP BY ALL"),
         "tag_agg": (f"{tag_base()}, t AS {today}, {components_cte('t')}\n"
-                    f"SELECT person, tag, round(count(*) * 1.0e0, 6) AS weight FROM ({_person_tags('t', 'comp')}) x GROUP BY ALL"),
+                    f"SELECT person, tag, CAST(count(*) AS DOUBLE) AS weight FROM ({_person_tags('t', 'comp')}) x GROUP BY ALL"),
         "history_tags": (f"{tag_base()}, h AS {hist}, {components_cte('h')}\n"
-                         f"SELECT person, tag, round(count(*) * 1.0e0, 6) AS weight FROM ({_person_tags('h', 'comp')}) x GROUP BY ALL"),
+                         f"SELECT person, tag, CAST(count(*) AS DOUBLE) AS weight FROM ({_person_tags('h', 'comp')}) x GROUP BY ALL"),
         "tag_decay": (f"{tag_base()}, h AS {hist}, {components_cte('h')}\n"
-                      f"SELECT person, tag, round(count(*) * 0.9e0, 6) AS weight FROM ({_person_tags('h', 'comp')}) x GROUP BY ALL"),
+                      f"SELECT person, tag, 9 * count(*) / 10.0e0 AS weight FROM ({_person_tags('h', 'comp')}) x GROUP BY ALL"),
         "tag_merge": f"{merged_base()} SELECT person, tag, weight FROM merged",
         "dict_lookup": (f"WITH {ad_log_cte()}, {DICT_CTE} SELECT DISTINCT l.appid, d.name FROM ad_log l "
                         "LEFT JOIN app_dict d ON l.appid = d.appid"),
@@ -378,7 +397,7 @@ def skew_queries() -> dict[str, str]:
              "LEFT JOIN customer c ON o.o_custkey = c.c_custkey")
     ib = identity_base()
     return {
-        "skew_hot_keys": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) >= 15",
+        "skew_hot_keys": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) * 1000 >= (SELECT count(*) FROM orders)",
         "skew_filter_join": (f"{ib}, {components_cte('recs')},\n nodes AS (SELECT DISTINCT unnest(ids) AS id FROM recs),\n"
                              " m AS (SELECT n.id, coalesce(c.component, n.id) AS component FROM nodes n LEFT JOIN comp c ON n.id = c.id)\n"
                              "SELECT a.androidid, a.mac, m.component FROM ad_log a LEFT JOIN m ON a.androidid = m.id"),

@@ -10,6 +10,7 @@ from ..functions.ip import (UNKNOWN_AREA, UNKNOWN_COUNTRY, area_label, city_of,
 from ..operators.joins import range_join
 from ..sources.adlog import AD_LOG_COLUMNS, ad_log
 from ..sources.dims import ip_ranges
+from ..sources.jsonlog import AD_LOG_FIELDS
 
 # ODS column order: the log columns, with province/city taken from the IP lookup.
 ODS_COLUMNS = tuple(AD_LOG_COLUMNS)
@@ -26,13 +27,15 @@ def distinct_ips(log: DataFrame) -> DataFrame:
 
 
 def lookup_ips(ips: DataFrame, ranges: DataFrame) -> DataFrame:
-    """(ip, ip_num, country, area, province, city); misses get the unknown labels."""
+    """(ip, ip_num, country, area, province, city, longitude, latitude); a miss gets the
+    unknown labels and NULL coordinates."""
     joined = range_join(ips, ip_to_number(F.col("ip")), ranges, "start_ip", "end_ip", how="left")
     country = F.coalesce(F.col("country"), F.lit(UNKNOWN_COUNTRY))
     return joined.select(
         "ip", ip_to_number(F.col("ip")).alias("ip_num"), country.alias("country"),
         F.coalesce(area_label(F.col("area")), F.lit(UNKNOWN_AREA)).alias("area"),
-        province_of(country).alias("province"), city_of(country).alias("city"))
+        province_of(country).alias("province"), city_of(country).alias("city"),
+        F.col("longitude").cast("double").alias("longitude"), F.col("latitude").cast("double").alias("latitude"))
 
 
 def enrich(log: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -40,15 +43,17 @@ def enrich(log: DataFrame, ranges: DataFrame) -> DataFrame:
 
     The bucketed range table is size-checked and broadcast, so this is a
     narrow, map-only stage — the log is never shuffled.  Rows without an IP
-    keep NULL location; unknown IPs get the unknown labels.
+    keep NULL location; unknown IPs get the unknown labels.  J3: a log without
+    coordinates gets those of its range (NULL on a miss).
     """
     cols = [c for c in log.columns if c not in ("province", "city")]
-    joined = range_join(log, ip_to_number(F.col("ip")), ranges.select("start_ip", "end_ip", "country"),
+    located = [] if "longitude" in cols else [c for c in ("longitude", "latitude") if c in ranges.columns]
+    joined = range_join(log, ip_to_number(F.col("ip")), ranges.select("start_ip", "end_ip", "country", *located),
                         "start_ip", "end_ip", how="left")
     country = F.coalesce(F.col("country"), F.lit(UNKNOWN_COUNTRY))
     province = F.when(has_ip(), province_of(country)).alias("province")
     city = F.when(has_ip(), city_of(country)).alias("city")
-    out = joined.select(*cols, province, city)
+    out = joined.select(*cols, province, city, *located)
     return out.select(*[c for c in ODS_COLUMNS if c in out.columns],
                       *[c for c in out.columns if c not in ODS_COLUMNS])
 
@@ -62,3 +67,12 @@ def build_ods(spark: SparkSession, sf_dir: str, columns=None, with_ds: bool = Fa
     out = enrich(log, ip_ranges(spark, sf_dir))
     keep = [c for c in out.columns if c in cols or c == "ds"]
     return out.select(*keep)
+
+
+def full_ods(log: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The 89 columns — all log fields (NULL where the log lacks one) plus
+    longitude, latitude, province and city from the IP join."""
+    names = [n for n, _ in AD_LOG_FIELDS]
+    padded = log.select(*[F.col(n).cast(t).alias(n) if n in log.columns else F.lit(None).cast(t).alias(n)
+                          for n, t in AD_LOG_FIELDS])
+    return enrich(padded, ranges).select(*names, "longitude", "latitude", "province", "city")

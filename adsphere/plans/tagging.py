@@ -2,65 +2,80 @@
 
 Mirrors the reference job's stages (filter, area join, dictionary lookups,
 nine tag families, identity graph, aggregation, history merge) as one
-DataFrame plan; the records frame feeds several consumers, so it is
-written once as a table instead of being recomputed per consumer.
+DataFrame plan.  The fact tables are joined once: the ODS is written, and
+both the area library and the records are made from it.  A record's areas
+come from the library of its own day.  Only the lookups that the wanted
+families read are joined.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.tags import ID_COLUMNS, any_identifier, main_id, record_tags, user_ids
+from ..functions.tags import ID_COLUMNS, TAG_FAMILIES, any_identifier, main_id, record_tags, user_ids
 from ..operators.joins import checked_broadcast
 from ..operators.tag_agg import DEFAULT_DECAY, merge_history, merge_in_one_pass, person_profile
-from ..sources.adlog import HISTORY_DS, TODAY_DS, ad_log
-from ..sources.dims import (CLIENT_OTHER, NETWORK_OTHER, OPERATOR_OTHER, app_dictionary,
-                            device_dictionary, geocode_responses)
-from ..session import materialize
+from ..session import materialize, scratch_path
+from ..sources.adlog import HISTORY_DS, TODAY_DS
+from ..sources.dims import (CLIENT_OTHER, DEVICE_DICTIONARY, NETWORK_OTHER, OPERATOR_OTHER, app_dictionary,
+                            geocode_responses)
+from ..sources.snapshots import read_snapshot, write_snapshot
 from . import business_area as ba
 from .ods import build_ods
 
-# ODS columns the tag rules and identity read.
-TAG_INPUT = ("ip", "appid", "appname", "client", "ispname", "networkmannername", "devicetype",
-             "device", "province", "city", "adspacetypename", "keywords", "channelid", "age",
-             "sex", "longitude", "latitude", *ID_COLUMNS)
+# ODS columns each tag family reads (besides the identifiers).
+FAMILY_INPUT = {
+    "app": ("appid", "appname"), "device": ("client", "ispname", "networkmannername", "devicetype", "device"),
+    "region": ("ip", "province", "city"), "adtype": ("adspacetypename",), "keyword": ("keywords",),
+    "channel": ("channelid",), "age": ("age",), "sex": ("sex",), "area": ("longitude", "latitude"),
+}
+TAG_SCHEMA = "person string, tag string, weight decimal(28,18)"
+ID_SCHEMA = "person string, id string"
 
 
-def lookup(df: DataFrame, key: DataFrame | object, dictionary: DataFrame, out: str,
-           default=None, bounded: bool = False) -> DataFrame:
-    """Left join to a (key, value) dictionary, broadcast after a size check
-    (``bounded=True``: a fixed literal table whose size is known, no check job)."""
-    d = dictionary.toDF("_k", out)
-    d = F.broadcast(d) if bounded else checked_broadcast(d)
-    joined = df.join(d, key == d["_k"], "left").drop("_k")
+def lookup(df: DataFrame, key: DataFrame | object, dictionary: DataFrame, out: str, default=None) -> DataFrame:
+    """Left join to a (key, value) dictionary, broadcast after a size check."""
+    joined = df.join(checked_broadcast(dictionary.toDF("_k", out)), key == F.col("_k"), "left").drop("_k")
     if default is not None:
         joined = joined.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
     return joined
 
 
+def device_code(value: Column, default: str) -> Column:
+    """J5 against the fixed device dictionary: its 13 entries as one expression, no join."""
+    code = None
+    for k, v in DEVICE_DICTIONARY:
+        code = F.when(value == k, v) if code is None else code.when(value == k, v)
+    return code.otherwise(default)
+
+
 def identified(ods: DataFrame) -> DataFrame:
     """P3."""
     return ods.where(any_identifier())
 
 
-def tag_inputs(spark: SparkSession, sf_dir: str, ods: DataFrame | None = None,
-               library: DataFrame | None = None) -> DataFrame:
-    """Identified ODS rows with areas and dictionary values attached."""
-    if ods is None:
-        ods = build_ods(spark, sf_dir, list(TAG_INPUT), with_ds=True)
-    if library is None:
-        # the business-area table is a daily dataset of its own: materialise it once
-        library = materialize(ba.area_library(ba.coordinate_areas(
-            ba.distinct_coordinates(ad_log(spark, sf_dir, ["longitude", "latitude"])),
-            geocode_responses(spark, sf_dir))), "area-library")
-    df = ba.with_areas(identified(ods), library)
-    df = lookup(df, F.col("appid"), app_dictionary(spark, sf_dir), "app_dict_name")
-    dev = device_dictionary(spark)
-    # a NULL client reads 0 (unboxed long), which the dictionary does not hold
-    df = lookup(df, F.coalesce(F.col("client"), F.lit(0)).cast("string"), dev, "client_code", CLIENT_OTHER, True)
-    df = lookup(df, F.col("ispname"), dev, "operator_code", OPERATOR_OTHER, True)
-    df = lookup(df, F.col("networkmannername"), dev, "network_code", NETWORK_OTHER, True)
+def attach(ods: DataFrame, families=None, library: DataFrame | None = None, apps: DataFrame | None = None,
+           devices: DataFrame | None = None, by: tuple = ()) -> DataFrame:
+    """Identified ODS rows with what the families read: areas, app names, device codes.
+
+    ``library`` and ``apps`` are needed by the families ``area`` and ``app``;
+    ``devices`` replaces the fixed device dictionary.
+    """
+    families = list(families if families is not None else TAG_FAMILIES)
+    df = identified(ods)
+    if "area" in families:
+        df = ba.with_areas(df, library, by)
+    if "app" in families:
+        df = lookup(df, F.col("appid"), apps, "app_dict_name")
+    if "device" in families:
+        # a NULL client reads 0 (unboxed long), which the dictionary does not hold
+        wanted = (("client_code", F.coalesce(F.col("client"), F.lit(0)).cast("string"), CLIENT_OTHER),
+                  ("operator_code", F.col("ispname"), OPERATOR_OTHER),
+                  ("network_code", F.col("networkmannername"), NETWORK_OTHER))
+        for out, key, default in wanted:
+            df = (df.withColumn(out, device_code(key, default)) if devices is None
+                  else lookup(df, key, devices, out, default))
     return df
 
 
@@ -78,27 +93,61 @@ def day(records: DataFrame, ds: str) -> DataFrame:
 def records_for(spark: SparkSession, sf_dir: str, families=None, ds: str | None = None) -> DataFrame:
     """Tagged records of both fixture days (or of day ``ds`` only, read with the day
     predicate in the scan), written once as a table reused by every consumer."""
-    ods = build_ods(spark, sf_dir, list(TAG_INPUT), with_ds=True, ds=ds)
-    return materialize(tagged_records(tag_inputs(spark, sf_dir, ods=ods), families), "tagged-records")
+    names = list(families if families is not None else TAG_FAMILIES)
+    columns = dict.fromkeys([c for f in names for c in FAMILY_INPUT[f]] + list(ID_COLUMNS))
+    ods = build_ods(spark, sf_dir, list(columns), with_ds=True, ds=ds)
+    library = None
+    if "area" in names:
+        ods = materialize(ods, "tag-ods")
+        coords = ba.distinct_coordinates(ods, ("ds",))
+        library = materialize(ba.area_library(
+            ba.coordinate_areas(coords, geocode_responses(spark, sf_dir), ("ds",)), ("ds",)), "area-library")
+    apps = app_dictionary(spark, sf_dir) if "app" in names else None
+    return materialize(tagged_records(attach(ods, names, library, apps, by=("ds",)), names), "tagged-records")
 
 
 def today_profile(spark: SparkSession, sf_dir: str, families=None):
     return person_profile(day(records_for(spark, sf_dir, families, TODAY_DS), TODAY_DS))
 
 
-def history_profile(spark: SparkSession, sf_dir: str, families=None):
-    return person_profile(day(records_for(spark, sf_dir, families, HISTORY_DS), HISTORY_DS))
+def store_profile(tags: DataFrame, ids: DataFrame, root: str, ds: str) -> None:
+    """One day's TAG and TAG_IDS snapshots."""
+    write_snapshot(tags.select("person", "tag", "weight"), root, "TAG", ds, keys=["person"])
+    write_snapshot(ids.select("person", "id"), root, "TAG_IDS", ds, keys=["person"])
 
 
-def merged_profile(spark: SparkSession, sf_dir: str, families=None,
-                   coefficient: float = DEFAULT_DECAY):
-    """Today's merged TAG from both fixture days' logs (one component pass)."""
-    return merge_in_one_pass(records_for(spark, sf_dir, families), TODAY_DS, coefficient)
+def stored_profile(spark: SparkSession, root: str, ds: str) -> tuple[DataFrame, DataFrame]:
+    """S3: a day's TAG and TAG_IDS snapshots; empty frames where the day was not run."""
+    return (read_snapshot(spark, root, "TAG", ds, TAG_SCHEMA), read_snapshot(spark, root, "TAG_IDS", ds, ID_SCHEMA))
+
+
+def warehouse(spark: SparkSession) -> str:
+    """A folder of its own under the shared root, for the snapshots a query writes."""
+    import uuid
+
+    return scratch_path(spark, f"warehouse-{uuid.uuid4().hex}")
 
 
-def merged_profile_staged(spark: SparkSession, sf_dir: str, families=None,
-                          coefficient: float = DEFAULT_DECAY):
-    """The same, staged as the daily job runs it: yesterday's persons, decayed, merged with today."""
-    recs = records_for(spark, sf_dir, families)
-    h_tags, h_ids = person_profile(day(recs, HISTORY_DS))
-    return merge_history(h_tags, h_ids, day(recs, TODAY_DS), coefficient)
+def history_profile(spark: SparkSession, sf_dir: str, families=None, root: str | None = None,
+                    records: DataFrame | None = None):
+    """S3: the history day run and stored, then read back from its snapshot."""
+    root = root or warehouse(spark)
+    if records is None:
+        records = records_for(spark, sf_dir, families, HISTORY_DS)
+    store_profile(*person_profile(day(records, HISTORY_DS)), root, HISTORY_DS)
+    return stored_profile(spark, root, HISTORY_DS)
+
+
+def merged_profile(spark: SparkSession, sf_dir: str, families=None, coefficient: float = DEFAULT_DECAY):
+    """E8 as the daily job runs it: yesterday's stored persons, decayed, merged with today's
+    records, stored as today's snapshot and read back."""
+    root = warehouse(spark)
+    records = records_for(spark, sf_dir, families)
+    h_tags, h_ids = history_profile(spark, sf_dir, families, root, records)
+    store_profile(*merge_history(h_tags, h_ids, day(records, TODAY_DS), coefficient), root, TODAY_DS)
+    return stored_profile(spark, root, TODAY_DS)
+
+
+def merged_in_one_pass(spark: SparkSession, sf_dir: str, families=None, coefficient: float = DEFAULT_DECAY):
+    """The same for two days of raw records at once (a property the tests hold the staged merge against)."""
+    return merge_in_one_pass(records_for(spark, sf_dir, families), TODAY_DS, coefficient)

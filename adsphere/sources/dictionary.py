@@ -12,16 +12,16 @@ def read_kv_dictionary(spark: SparkSession, path: str, key: str = "key",
                        value: str = "value") -> DataFrame:
     """(key, value) from a text file; when a key repeats, the later line wins.
 
-    Read with ``spark.read.text`` (distributed, no driver ``collect``); line
-    order is kept by the file position and split offset, so "later" means
-    later in the file.  Lines without the separator are skipped.  The result
-    is meant for a size-checked broadcast join, not a driver-side map.
+    Read with ``spark.read.text`` (distributed, no driver ``collect``).  "Later" goes by file
+    path, then by the block of the file that Spark reads, then by the order inside it.
+    Lines without the separator are skipped.  The result is meant for a
+    size-checked broadcast join, not a driver-side map.
     """
-    lines = (spark.read.text(path)
-             .withColumn("_file", F.input_file_name())
-             .withColumn("_pos", F.monotonically_increasing_id()))
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select("value", place.alias("_place"))
     parts = F.split(F.col("value"), SEPARATOR)
     kv = (lines.where(F.col("value").contains(SEPARATOR))
-          .select(parts.getItem(0).alias(key), parts.getItem(1).alias(value), "_file", "_pos"))
+          .select(parts.getItem(0).alias(key), parts.getItem(1).alias(value), "_place"))
     return kv.groupBy(key).agg(
-        F.max_by(F.col(value), F.struct(F.col("_file"), F.col("_pos"))).alias(value))
+        F.max_by(F.col(value), F.col("_place")).alias(value))

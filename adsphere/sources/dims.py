@@ -18,6 +18,9 @@ from .tables import read_table
 # match nothing.
 IP_BLOCKS = ((0, 0, 255), (1, 256, 1023), (2, 1100, 4095), (3, 4096, 16777215))
 IP_UNMAPPED_NATION = 24
+# A range's coordinates, by nation and block (valid in both engines).
+RANGE_LONGITUDE = "cast(-180 + (n_nationkey*1373 + b.j*577)%36000/100.0e0 as float)"
+RANGE_LATITUDE = "cast(-90 + (n_nationkey*691 + b.j*353)%18000/100.0e0 as float)"
 
 # The device dictionary (key##code), in file order.
 DEVICE_DICTIONARY = (
@@ -34,7 +37,7 @@ APP_DICT_SIZE = 50  # app ids XRX0..XRX49; multiples of 10 are left out (misses)
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(start_ip, end_ip, country, area): four disjoint ranges per mapped nation."""
+    """(start_ip, end_ip, country, area, longitude, latitude): four disjoint ranges per mapped nation."""
     blocks = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(lo).cast("bigint").alias("lo"),
                                 F.lit(hi).cast("bigint").alias("hi")) for j, lo, hi in IP_BLOCKS])
     n = F.col("n_nationkey")
@@ -48,7 +51,8 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.concat(F.lit("P"), n, F.lit("省C"), n, F.lit("_"), F.col("b.j")))
                      .otherwise(F.concat(F.lit("M"), n)).alias("country"),
                     F.when(F.col("b.j") == 2, F.lit(" CZ88.NET"))
-                     .otherwise(F.concat(F.lit("ISP"), F.col("b.j"))).alias("area")))
+                     .otherwise(F.concat(F.lit("ISP"), F.col("b.j"))).alias("area"),
+                    F.expr(RANGE_LONGITUDE).alias("longitude"), F.expr(RANGE_LATITUDE).alias("latitude")))
 
 
 def app_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:

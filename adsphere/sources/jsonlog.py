@@ -1,4 +1,4 @@
-"""The raw JSON ad log (S1) and the ODS projection."""
+"""The raw JSON ad log."""
 
 from __future__ import annotations
 
@@ -45,16 +45,3 @@ def read_json_log(spark: SparkSession, path: str, keep_corrupt: bool = False) ->
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     return reader.json(path)
-
-
-def ods_projection(log: DataFrame, geo: DataFrame | None = None) -> DataFrame:
-    """The 85 log fields plus longitude, latitude, province, city (all kept; geo columns
-    come from ``geo`` joined on ``ip`` when given, NULL otherwise)."""
-    from pyspark.sql import functions as F
-    names = [n for n, _ in AD_LOG_FIELDS]
-    df = log.select(*names)
-    if geo is not None:
-        return df.join(geo.select("ip", "longitude", "latitude", "province", "city"), "ip", "left")
-    return df.select(*names, *[F.lit(None).cast(t).alias(c) for c, t in
-                               (("longitude", "float"), ("latitude", "float"),
-                                ("province", "string"), ("city", "string"))])

@@ -1,29 +1,35 @@
+import json
+import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
-from adsphere.operators.tag_agg import rounded
-from adsphere.plans.daily import TAG_SCHEMA, run_day
+from adsphere.functions.codec import decode_map, decode_pairs, malformed_entries
+from adsphere.operators.tag_agg import as_doubles
+from adsphere.plans.daily import json_input, run_day
+from adsphere.plans.tagging import TAG_SCHEMA, merged_in_one_pass, merged_profile
 from adsphere.sources.adlog import HISTORY_DS, TODAY_DS
+from adsphere.sources.dims import ip_ranges
 from adsphere.sources.snapshots import read_snapshot
 from conftest import SF001, sorted_rows
 
 
 def _scratch_tables(spark):
-    import os
     from adsphere.session import scratch_path
     base = os.path.dirname(scratch_path(spark, "x"))
     return set(os.listdir(base)) if os.path.isdir(base) else set()
 
 
-def test_two_days_equal_the_one_shot_merge(spark):
+def test_two_days_equal_the_merge_query(spark):
     root = tempfile.mkdtemp(prefix="adsphere-daily-")
     before = _scratch_tables(spark)
     run_day(spark, SF001, root, HISTORY_DS)
     assert _scratch_tables(spark) <= before   # intermediates removed
     paths = run_day(spark, SF001, root, TODAY_DS)
-    got = rounded(read_snapshot(spark, root, "TAG", TODAY_DS, TAG_SCHEMA))
+    got = as_doubles(read_snapshot(spark, root, "TAG", TODAY_DS, TAG_SCHEMA))
     want = entry.queries()["tag_merge"](spark, SF001)
-    assert sorted_rows(got.select(*want.columns).collect()) == sorted_rows(want.collect())
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))  # to the last bit
     ods = read_snapshot(spark, root, "ODS", TODAY_DS,
                         spark.read.parquet(paths["ODS"]).drop("ds").schema)
     assert ods.count() == entry.queries()["snapshot_read"](spark, SF001).count()
@@ -36,7 +42,52 @@ def test_two_days_equal_the_one_shot_merge(spark):
 
 
 def test_one_pass_merge_equals_staged(spark):
-    from adsphere.plans.tagging import merged_profile, merged_profile_staged
     a, _ = merged_profile(spark, SF001)
-    b, _ = merged_profile_staged(spark, SF001)
-    assert sorted_rows(rounded(a).collect()) == sorted_rows(rounded(b).select(*a.columns).collect())
+    b, _ = merged_in_one_pass(spark, SF001)
+    assert sorted_rows(as_doubles(a).collect()) == sorted_rows(as_doubles(b).select(*a.columns).collect())
+
+
+def test_three_days_of_json_logs(spark, tmp_path):
+    """JSON log and dictionary files in, any days, documents out; weights decay twice."""
+    days = {"20240101": [dict(ip="16.0.0.1", appid="a1", client=1, ispname="移动", imei="me", sex="f", keywords="x,y")],
+            "20240102": [dict(ip="17.0.1.1", appid="a2", client=2, mac="other", sex="m")],
+            "20240103": [dict(ip="16.0.0.1", appname="named", imei="me", mac="m1", sex="f"), dict(ip="9.9.9.9", imei="me")]}
+    apps, devices = tmp_path / "apps.txt", tmp_path / "devices.txt"
+    apps.write_text("a1##First app\na2##Old\na2##Second app\n")
+    devices.write_text("1##D00010001\n移动##D00030001\n")
+    ranges = ip_ranges(spark, SF001)
+    lon, lat = ranges.where("start_ip = 268435456").select("longitude", "latitude").first()
+    body = json.dumps({"regeocode": {"addressComponent": {"businessAreas": [{"name": "Old town"}]}}})
+    responses = spark.createDataFrame([(lon, lat, body)], "longitude float, latitude float, response string")
+    root = str(tmp_path / "warehouse")
+    for ds, rows in days.items():
+        log = tmp_path / f"{ds}.json"
+        log.write_text("\n".join(json.dumps(r) for r in rows) + "\n{broken\n")
+        paths = run_day(spark, json_input(spark, str(log), ranges, responses, str(apps), str(devices)), root, ds)
+    tags = {(r.person, r.tag): r.weight for r in as_doubles(read_snapshot(spark, root, "TAG", "20240103", TAG_SCHEMA)).collect()}
+    assert tags["m1", "APP_First app"] == 0.81 if ("m1", "APP_First app") in tags else tags["me", "APP_First app"] == 0.81
+    me = "m1" if ("m1", "SEX_f") in tags else "me"
+    assert tags[me, "SEX_f"] == 1.81 and tags[me, "KW_x"] == 0.81 and tags[me, "BA_Old town"] == 1.81
+    assert tags[me, "CB_D00010001"] == 0.81 and tags["other", "APP_Second app"] == 0.9
+    docs = {d["_id"]: d for d in map(json.loads, (r.value for r in spark.read.text(paths["profile_docs"]).collect()))}
+    assert {"value": "Old town", "weight": 1.81} in docs[me]["businessArea"]
+    ods = spark.read.parquet(paths["ODS"]).where("ds = '20240103'")
+    assert len(ods.columns) == 90 and ods.where("ip = '9.9.9.9'").first().longitude is None
+    assert spark.read.parquet(paths["unknown_tags"]).where("ds = '20240103'").first().unknown_tags == 0
+
+
+def test_snapshot_read_prunes_partitions(spark):
+    plan = entry.queries()["snapshot_read"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ds" in plan and TODAY_DS in plan
+
+
+def test_codec_edge_cases(spark):
+    rows = [(1, "(a,1.0),(a,2.0),(b,0.5)"), (2, ""), (3, "(APP_x,y,1.0)"), (4, "(broken),(t,x),(k,3.0)"), (5, None)]
+    df = spark.createDataFrame(rows, "i int, t string").select(
+        "i", decode_pairs(F.col("t")).alias("p"), decode_map(F.col("t")).alias("m"), malformed_entries(F.col("t")).alias("bad"))
+    got = {r.i: r for r in df.collect()}
+    assert got[1].m == {"a": 2.0, "b": 0.5} and len(got[1].p) == 3
+    assert got[2].p == [] and got[2].m == {}
+    assert got[3].m == {"APP_x,y": 1.0}
+    assert got[4].m == {"k": 3.0} and got[4].bad == 2
+    assert got[5].m is None

@@ -111,3 +111,10 @@ def test_codec(spark):
     assert got == [{"BA_a": 1.0, "KW_b": 0.9}, {"APP_x,y": 1.0}]
     back = df.select(codec.encode_map(codec.decode_map(F.col("t"))).alias("x")).collect()
     assert [r.x for r in back] == ["(BA_a,1.0),(KW_b,0.9)", "(APP_x,y,1.0)"]
+
+
+def test_geohash_of_a_missing_coordinate_is_missing(spark):
+    from adsphere.functions.geo import geohash8
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(None, 1.0), (1.0, None), (None, None)], "lat double, lon double")
+    assert [r[0] for r in df.select(geohash8(F.col("lat"), F.col("lon"))).collect()] == [None] * 3

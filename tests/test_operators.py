@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from adsphere.operators import skew
 from adsphere.operators.components import connected_components
 from adsphere.operators.joins import range_join
-from adsphere.operators.tag_agg import merge_history, person_profile
+from adsphere.operators.tag_agg import as_doubles, merge_history, person_profile
 from adsphere.plans import profile
 from adsphere.sources import jsonlog, snapshots
 from adsphere.sources.dims import ip_ranges
@@ -126,7 +126,7 @@ def test_decay_and_merge(spark):
     today = _records(spark, [("x", ["x", "u2"], ["t", "s"])])
     h_tags, h_ids = person_profile(hist)
     tags, ids = merge_history(h_tags, h_ids, today, 0.9)
-    got = {(r.person, r.tag): round(r.weight, 6) for r in tags.collect()}
+    got = {(r.person, r.tag): r.weight for r in as_doubles(tags).collect()}
     assert got == {("u1", "t"): 1.9, ("u1", "s"): 1.0}
     assert sorted(r.id for r in ids.collect()) == ["u1", "u2", "x"]
     # coefficient 0 keeps today only; coefficient 1 is the plain sum
@@ -140,17 +140,18 @@ def test_profile_documents(spark):
     tags = spark.createDataFrame([("p", "CB_D00010002", 2.0), ("p", "KW_blue", 1.0), ("p", "XX_odd", 1.0)],
                                  "person string, tag string, weight double")
     assert profile.unknown_tag_count(tags).collect()[0][0] == 1
-    fields = profile.profile_fields(profile.classify_tags(tags))
-    docs = profile.profile_documents(fields).collect()
-    assert len(docs) == 1
+    tags = tags.unionByName(spark.createDataFrame([("q", "XX_odd", 1.0)], tags.schema))
+    rows = profile.profile_rows(profile.classify_tags(tags))
+    docs = sorted(profile.profile_documents(rows).collect())
+    assert len(docs) == 2 and json.loads(docs[1].doc)["keyword"] == []   # only unknown tags: still a document
     doc = json.loads(docs[0].doc)
     assert doc["_id"] == "p" and len(doc) == 15
     assert doc["client"] == [{"value": "ios", "weight": 2.0}]
     assert doc["keyword"] == [{"value": "blue", "weight": 1.0}]
     assert doc["sex"] == []
     out = tempfile.mkdtemp(prefix="adsphere-docs-")
-    profile.write_documents(profile.profile_documents(fields), os.path.join(out, "docs"))
-    assert spark.read.text(os.path.join(out, "docs")).count() == 1
+    profile.write_documents(profile.profile_documents(rows), os.path.join(out, "docs"))
+    assert spark.read.text(os.path.join(out, "docs")).count() == 2
 
 
 def test_snapshots(spark):
@@ -184,8 +185,12 @@ def test_json_log_scan(spark):
     df = jsonlog.read_json_log(spark, path, keep_corrupt=True).cache()
     assert df.count() == 2
     assert df.where(F.col(jsonlog.CORRUPT).isNotNull()).count() == 1
-    ods = jsonlog.ods_projection(df)
+    from adsphere.plans.ods import full_ods
+    ods = full_ods(df.drop(jsonlog.CORRUPT), ip_ranges(spark, SF01))
     assert len(ods.columns) == 89
+    r = ods.where("ip is not null").first()
+    assert r.province == "P0省" and r.longitude is not None and r.appname == "x"
+    assert ods.where("ip is null").first().longitude is None
     assert df.schema["requestmode"].dataType.simpleString() == "bigint"
 
 
