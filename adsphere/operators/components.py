@@ -26,19 +26,19 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, materialize
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int = 1 << 62) -> DataFrame:
     sym = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).unionByName(
         edges.select(F.col("dst").alias("u"), F.col("src").alias("v")))
-    mins = materialize(sym.groupBy("u").agg(F.min("v").alias("mn")).select(
-        "u", F.least(F.col("u"), F.col("mn")).alias("m")), "cc-mins")
+    mins = _stored(sym.groupBy("u").agg(F.min("v").alias("mn")).select(
+        "u", F.least(F.col("u"), F.col("mn")).alias("m")), "cc-mins", rows)
     # duplicates are removed by the small-star step that always follows
     return (sym.where(F.col("v") > F.col("u")).join(mins, "u")
             .select(F.col("v").alias("src"), F.col("m").alias("dst")))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int = 1 << 62) -> DataFrame:
     oriented = edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
-    mins = materialize(oriented.groupBy("u").agg(F.min("v").alias("m")), "cc-mins")
+    mins = _stored(oriented.groupBy("u").agg(F.min("v").alias("m")), "cc-mins", rows)
     linked = oriented.join(mins, "u").select(F.col("v").alias("src"), F.col("m").alias("dst"))
     own = mins.select(F.col("u").alias("src"), F.col("m").alias("dst"))
     return linked.unionByName(own).where(F.col("src") != F.col("dst")).distinct()
@@ -60,6 +60,15 @@ def _is_star_forest(edges: DataFrame) -> bool:
     return bad.isEmpty()
 
 
+ROWS_PER_TASK = 100_000
+
+
+def _stored(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """Materialise a frame of about ``rows`` rows; a small one in few tasks and files."""
+    tasks = -(-rows // ROWS_PER_TASK)
+    return materialize(df.coalesce(max(1, tasks)) if tasks <= 32 else df, name)
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                          max_rounds: int = 200) -> DataFrame:
     """(id, component) for every node that appears in ``edges``.
@@ -72,10 +81,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
            .where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
            .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
            .distinct(), "cc-edges")
+    rows = cur.count()
     for _ in range(max_rounds):
         # each round reads the previous round's table: lineage never grows
-        wide = materialize(_large_star(cur), "cc-round")
-        cur = materialize(_small_star(wide), "cc-round")
+        wide = _stored(_large_star(cur, rows), "cc-round", rows)
+        cur = _stored(_small_star(wide, rows), "cc-round", rows)
         if _is_star_forest(cur):
             break
     else:
