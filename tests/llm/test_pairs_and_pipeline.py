@@ -96,6 +96,33 @@ def test_near_duplicates_match_brute_force(spark, small, edge_docs, no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0
 
 
+def half_similar(n=70):
+    """One group around the threshold: some pairs are similar, many are not, most documents may be."""
+    rng = np.random.default_rng(11)
+    base = sentence(4, 150).split()
+    out = []
+    for i in range(n):
+        words = list(base)
+        for k in rng.choice(150, int(rng.integers(2, 16)), replace=False):
+            words[k] = f"own{i}x{k}"
+        out.append((i, " ".join(words)))
+    return out
+
+
+def test_tiles_find_what_leaders_miss(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 8)
+    docs = spark.createDataFrame(half_similar(), "doc_id long, text string")
+    want = expected(docs.collect())
+    assert 2 < len(set(want.values())) < 70
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()} == want
+    # the tiles by themselves, with no link known before
+    members = docs.select(F.lit(0).alias("grp"), F.col("doc_id").alias("node"), F.col("doc_id").alias("component"),
+                          (F.col("doc_id") > 0).alias("stray"), F.lit(70).alias("size"), F.lit(69).alias("strays"))
+    links = minhash.tile_links(members, docs.select(F.col("doc_id").alias("node"), "text")).collect()
+    linked = {frozenset((r.src, r.dst)) for r in links}
+    assert components(range(70), lambda i, j: frozenset((i, j)) in linked) == want
+
+
 def test_one_of_each_stays(edge_docs, no_docs):
     kept = minhash.keep_one_of_each(edge_docs)
     assert kept.columns == edge_docs.columns
