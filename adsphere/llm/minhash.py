@@ -12,17 +12,21 @@ registers follows the Jaccard similarity, so bands of registers serve as hash ke
    misses all bands with probability 2e-8.
 3. Each bucket has a leader (the least by a hash that differs per band, so a group of
    near copies has many leaders); every member is compared with its leader only.
-4. A pair is dropped where the sizes alone rule out the similarity, or where the joint
-   maximum-likelihood estimate from both sketches and sizes lies more than seven standard
-   errors below it.  The rest is verified on the full sets of the whole texts.
-5. Verified links give components.  Buckets that still hold several components compare the
-   members outside their largest component with all members of other components, verified in
-   the same way.  So no link between bucket mates of different components is lost, and a group of g near
-   copies costs about g comparisons, not g²/2.
-
-Scale: shuffled are sketches, bucket rows, and the texts of documents in some pair.  Leaders
-come from partial aggregation and are stored before they are joined, so AQE can split a hot
-bucket on both sides of the join.
+4. A pair is dropped where the sizes alone rule out the similarity, where two 64-bit
+   fingerprints (one bit per register) differ too much, or where the joint maximum-likelihood
+   estimate from both sketches and sizes lies more than seven standard errors below it.  The
+   rest is verified on the full sets of the whole texts.
+5. Verified links give components.  Plausible pairs, verified or not, give groups: documents
+   that may be similar.  A group that holds several components compares every document
+   outside its largest component with all documents of the group, in tiles of ``TILE`` by
+   ``TILE`` documents: a task holds the texts of two tiles, counts shared shingles through an
+   index, and returns only links that join components.  So no link in a group is lost, a
+   group of g near copies costs about g comparisons, and no task or table holds all pairs.
+
+Scale: shuffled are sketches, bucket rows, and the texts of documents in some plausible pair.
+Leaders come from partial aggregation and are stored before they are joined, so AQE can split
+a hot bucket on both sides of the join.  Pairs meet the fingerprints first and the sketches
+only if those leave the pair in.
 
 Defined cases: lower case is ASCII only; a one-word text is a set of one; a text without words
 (or NULL) has an empty set, is its own component and is kept; NULL ``doc_id`` rows link with
@@ -35,14 +39,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import materialize
-from .tokens import byte_slices
+from .tokens import byte_slices, ragged
 
 PERCENT = 80
 ROWS, BANDS = 5, 44
@@ -50,6 +54,8 @@ REGISTERS = ROWS * BANDS
 BASE, RATE, Q = 1.001, 20.0, (1 << 16) - 2
 STANDARD_ERRORS = 7.0
 SLICE_BYTES = 2 << 20
+TILE = 256
+BITS = 128  # of a fingerprint: the lowest bit of each of the first registers
 
 # odd multipliers of the hashes: splitmix64 (fixed values)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -154,6 +160,14 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def fingerprints(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit words per sketch: a mixed bit of each of the first ``BITS`` registers."""
+    bits = mixed(regs[:, :BITS].astype(np.uint64)) & np.uint64(1)
+    shift = np.arange(64, dtype=np.uint64)
+    words = [(bits[:, k:k + 64] << shift).sum(1, dtype=np.uint64).view(np.int64) for k in (0, 64)]
+    return words[0], words[1]
+
+
 def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """Joint maximum-likelihood Jaccard similarity of pairs of sketches with known set sizes."""
     d_more = (a > b).sum(1)
@@ -174,7 +188,7 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, s1, s2, regs): set size, a 128-bit sum of its hashes, and the sketch."""
+    """(doc_id, n, s1, s2, f1, f2, regs): set size, a 128-bit sum of its hashes, fingerprint, sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,11 +204,12 @@ def sketches(docs: DataFrame) -> DataFrame:
                     [batch["doc_id"][a:b], pa.array(n, pa.int64()),
                      pa.array((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64)),
                      pa.array((other[bounds[1:]] - other[bounds[:-1]]).view(np.int64)),
+                     *[pa.array(f) for f in fingerprints(regs)],
                      pa.array([r.tobytes() for r in regs], pa.binary())],
-                    names=["doc_id", "n", "s1", "s2", "regs"])
+                    names=["doc_id", "n", "s1", "s2", "f1", "f2", "regs"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, s1 long, s2 long, regs binary")
+        run, "doc_id long, n long, s1 long, s2 long, f1 long, f2 long, regs binary")
 
 
 def bucket_rows(nodes: DataFrame) -> DataFrame:
@@ -213,12 +228,24 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
 
 
 def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that sizes and the likelihood estimate do not rule out."""
-    least = PERCENT / 100 - STANDARD_ERRORS * (PERCENT / 100 * (1 - PERCENT / 100) / REGISTERS) ** 0.5
-    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
-    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
-    joined = (pairs.join(a, "a").join(b, "b")
-              .where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")))
+    """The pairs (a, b) that sizes, fingerprints and the likelihood estimate do not rule out."""
+    j = PERCENT / 100
+    least = j - STANDARD_ERRORS * (j * (1 - j) / REGISTERS) ** 0.5
+    # equal registers agree in the bit, others by chance: agreement (1 + j) / 2 at similarity j
+    agree = (1 + j) / 2
+    differ = int(BITS * (1 - agree + STANDARD_ERRORS * (agree * (1 - agree) / BITS) ** 0.5))
+
+    def side(name: str, *columns: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(name), *[F.col(c).alias(c + name) for c in columns])
+
+    near = (pairs.join(side("a", "n", "f1", "f2"), "a").join(side("b", "n", "f1", "f2"), "b")
+            .where((100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
+                   & (F.bit_count(F.col("f1a").bitwiseXOR(F.col("f1b")))
+                      + F.bit_count(F.col("f2a").bitwiseXOR(F.col("f2b"))) <= differ))
+            .select("a", "b", "na", "nb"))
+    near = materialize(near, "near-fingerprints")
+    joined = near.join(side("a", "regs").withColumnRenamed("regsa", "ra"), "a").join(
+        side("b", "regs").withColumnRenamed("regsb", "rb"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,22 +273,24 @@ def shingle_set(text: str) -> frozenset:
     return frozenset(zip(words[:-1], words[1:], strict=True))
 
 
+def similar(s: frozenset, t: frozenset) -> bool:
+    """Whether two sets meet the similarity."""
+    shared = len(s & t)
+    return 100 * shared >= PERCENT * (len(s) + len(t) - shared)
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets meet the similarity.
 
     Each text needed is fetched once per pair, the two sides of a pair are brought together
     by the pair's number, and pairs are streamed: a task holds the texts of one pair at a time.
     """
-    numbered = materialize(pairs.distinct().withColumn("pair", F.monotonically_increasing_id()), "near-pairs")
+    numbered = materialize(pairs.withColumn("pair", F.monotonically_increasing_id()), "near-pairs")
     sides = (numbered.select("pair", F.col("a").alias("node"), F.lit(0).alias("side"))
              .unionByName(numbered.select("pair", F.col("b").alias("node"), F.lit(1).alias("side"))))
     both = (sides.join(texts, "node").select("pair", "side", "node", "text")
             .repartition("pair").sortWithinPartitions("pair", "side"))
 
-    def similar(s: frozenset, t: frozenset) -> bool:
-        shared = len(s & t)
-        return 100 * shared >= PERCENT * (len(s) + len(t) - shared)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, left, done = None, [], False
         for batch in batches:
@@ -283,6 +312,65 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "src long, dst long")
 
 
+def tile_links(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(src, dst): links between components inside groups, found tile by tile.
+
+    ``members`` has (grp, node, component, stray, size, strays): a group's documents, whether
+    each lies outside its largest component, and the group's counts of both.
+    """
+    wide = F.ceil(F.col("size") / TILE).cast("int")
+    high = F.ceil(F.col("strays") / TILE).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    every = members.select("grp", "node", "component", F.lit(1).alias("side"), place(wide).alias("j"),
+                           F.explode(F.sequence(F.lit(0), high - 1)).alias("i"), (wide * high).alias("tiles"))
+    strays = members.where("stray").select("grp", "node", "component", F.lit(0).alias("side"),
+                                           F.explode(F.sequence(F.lit(0), wide - 1)).alias("j"),
+                                           place(high).alias("i"), (wide * high).alias("tiles"))
+    rows = strays.unionByName(every).join(texts, "node")
+    # small groups share a task; a pair of tiles of a large one has its own
+    room = F.when(F.col("tiles") > 1, F.xxhash64("grp", "i", "j")).otherwise(F.pmod(F.xxhash64("grp"), F.lit(4096)))
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for _, part in rows.groupby(["grp", "i", "j"], sort=False):
+            found += links_between(part[part["side"] == 0], part[part["side"] == 1])
+        return pd.DataFrame(found, columns=["src", "dst"], dtype="int64")
+
+    return (rows.select(room.alias("room"), "grp", "i", "j", "side", "node", "component", "text")
+            .groupBy("room").applyInPandas(compare, "src long, dst long"))
+
+
+def links_between(left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[int, int]]:
+    """Links from rows of one tile to rows of the other that join components not yet joined."""
+    texts = [t.encode() for t in right["text"]]
+    hashes, bounds = shingle_hashes(texts)
+    sizes = np.diff(bounds)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], owner[order]
+    nodes, labels = right["node"].to_numpy(), right["component"].to_numpy()
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    found = []
+    for node, label, text in zip(left["node"].tolist(), left["component"].tolist(), left["text"], strict=True):
+        own, _ = shingle_hashes([text.encode()])
+        first, last = np.searchsorted(hashes, own), np.searchsorted(hashes, own, side="right")
+        shared = np.bincount(owner[ragged(first, last - first)], minlength=len(texts))
+        near = np.flatnonzero((100 * shared >= PERCENT * (len(own) + sizes - shared)) & (labels != label))
+        for k in near.tolist():
+            a, b = find(label), find(int(labels[k]))
+            # the hashes say so; the sets themselves decide
+            if a != b and similar(shingle_set(text), shingle_set(right["text"].iat[k])):
+                parent[max(a, b)] = min(a, b)
+                found.append((node, int(nodes[k])))
+    return found
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; ``doc_id`` names and orders documents."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -292,7 +380,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = materialize(linkable.groupBy(*set_key).agg(F.min("doc_id").alias("node")), "set-classes")
     # the sketch of a class is that of its representative (repeated rows have the same one)
     nodes = materialize(linkable.join(classes.withColumnRenamed("node", "doc_id"), [*set_key, "doc_id"])
-                        .select(F.col("doc_id").alias("node"), "n", "regs").distinct(), "set-nodes")
+                        .select(F.col("doc_id").alias("node"), "n", "f1", "f2", "regs").distinct(), "set-nodes")
     texts = docs.select(F.col("doc_id").alias("node"), "text").where(F.col("node").isNotNull())
 
     buckets = bucket_rows(nodes)
@@ -303,25 +391,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = materialize(buckets.join(leaders, "key"), "bucket-members")
     pairs = (members.where(F.col("node") != F.col("leader"))
              .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
-    links = materialize(verified(plausible(pairs, nodes), texts), "near-links")
+    likely = materialize(plausible(pairs, nodes).distinct(), "likely-pairs")
+    links = materialize(verified(likely, texts), "near-links")
     labels = connected_components(links).select(F.col("id").alias("node"), "component")
 
-    # members of buckets of three and more that the leaders did not bring together
-    large = members.where("size > 2").select("key", "node", "leader").join(labels, "node", "left").select(
-        "key", "node", "leader", F.coalesce("component", "node").alias("component"))
-    large = materialize(large, "bucket-components")
-    sizes = large.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-    split = materialize(sizes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m"), F.count(F.lit(1)).alias("k"))
-                        .where("k > 1").select("key", F.col("m.component").alias("main")), "bucket-splits")
-    apart = materialize(large.join(split, "key"), "buckets-apart")
-    strays = apart.where(F.col("component") != F.col("main")).select(
-        "key", F.col("node").alias("x"), F.col("component").alias("cx"))
-    others = apart.select("key", "leader", "main", F.col("node").alias("y"), F.col("component").alias("cy"))
-    rest = (strays.join(others, "key")
-            .where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y")))
-                   & (F.col("x") != F.col("leader")) & (F.col("y") != F.col("leader")))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    more = materialize(verified(plausible(rest, nodes), texts), "near-links")
+    # groups of documents that may be similar, where the leaders left several components
+    groups = connected_components(likely, "a", "b").select(F.col("id").alias("node"), F.col("component").alias("grp"))
+    placed = materialize(groups.join(labels, "node", "left").select(
+        "grp", "node", F.coalesce("component", "node").alias("component")), "group-members")
+    sizes = placed.groupBy("grp", "component").agg(F.count(F.lit(1)).alias("c"))
+    split = materialize(
+        sizes.groupBy("grp").agg(F.max(F.struct("c", "component")).alias("m"), F.sum("c").alias("size"))
+        .where(F.col("m.c") < F.col("size"))
+        .select("grp", F.col("m.component").alias("main"), "size", (F.col("size") - F.col("m.c")).alias("strays"))
+        .where("size > 2"), "group-splits")  # a group of two was compared already
+    apart = placed.join(split, "grp").withColumn("stray", F.col("component") != F.col("main"))
+    more = materialize(tile_links(apart, texts), "near-links")
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more)).select(F.col("id").alias("node"), "component")
 
