@@ -53,7 +53,7 @@ ROWS, BANDS = 5, 44
 REGISTERS = ROWS * BANDS
 BASE, RATE, Q = 1.001, 20.0, (1 << 16) - 2
 STANDARD_ERRORS = 7.0
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10  # of text hashed at once: a worker holds some 60 bytes per byte of it
 TILE = 256
 BITS = 128  # of a fingerprint: the lowest bit of each of the first registers
 
@@ -132,6 +132,19 @@ def shingle_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
 
 
+def sliced_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`shingle_hashes` of many texts, ``SLICE_BYTES`` at a time."""
+    parts, lens, held, at = [], [], 0, 0
+    for i, t in enumerate([*texts, None]):
+        if t is None or (held and held + len(t) > SLICE_BYTES):
+            hashes, bounds = shingle_hashes(texts[at:i])
+            parts.append(hashes)
+            lens.append(np.diff(bounds))
+            at, held = i, 0
+        held += len(t or b"")
+    return np.concatenate(parts), np.concatenate([[0], *[np.cumsum(np.concatenate(lens))]])
+
+
 def registers(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """One row of registers per set; a row of zeros for an empty set."""
     out = np.zeros((len(bounds) - 1, REGISTERS), np.uint16)
@@ -343,7 +356,7 @@ def tile_links(members: DataFrame, texts: DataFrame) -> DataFrame:
 def links_between(left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[int, int]]:
     """Links from rows of one tile to rows of the other that join components not yet joined."""
     texts = [t.encode() for t in right["text"]]
-    hashes, bounds = shingle_hashes(texts)
+    hashes, bounds = sliced_hashes(texts)
     sizes = np.diff(bounds)
     owner = np.repeat(np.arange(len(texts)), sizes)
     order = np.argsort(hashes, kind="stable")
