@@ -11,7 +11,11 @@ registers follows the Jaccard similarity, so bands of registers serve as hash ke
 2. Representatives that agree in a whole band meet in a bucket.  At similarity 0.8 a pair
    misses all bands with probability 2e-8.
 3. Each bucket has a leader (the least by a hash that differs per band, so a group of
-   near copies has many leaders); every member is compared with its leader only.
+   near copies has many leaders); every member is compared with its leader.  The members
+   that their leader left out elect a further leader, round by round while a bucket has more
+   than ``CROWD`` of them (``ROUNDS`` rounds at most); the rest are compared with each other
+   in tiles of ``CROWD``, which return links that join, not pairs.  So in every bucket each
+   member is linked by some plausible pair or has none among those left out.
 4. A pair is dropped where the sizes alone rule out the similarity, where two 64-bit
    fingerprints (one bit per register) differ too much, or where the joint maximum-likelihood
    estimate from both sketches and sizes lies more than seven standard errors below it.  The
@@ -55,6 +59,8 @@ BASE, RATE, Q = 1.001, 20.0, (1 << 16) - 2
 STANDARD_ERRORS = 7.0
 SLICE_BYTES = 512 << 10  # of text hashed at once: a worker holds some 60 bytes per byte of it
 TILE = 256
+CROWD = 512  # members of a bucket, left out by their leader, that are compared with each other at once
+ROUNDS = 12  # of further leaders
 BITS = 128  # of a fingerprint: the lowest bit of each of the first registers
 
 # odd multipliers of the hashes: splitmix64 (fixed values)
@@ -240,13 +246,18 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "regs").mapInArrow(run, "key long, node long")
 
 
-def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that sizes, fingerprints and the likelihood estimate do not rule out."""
+def limits() -> tuple[float, int]:
+    """The least estimate, and the most bits two fingerprints differ in, that leave a pair in."""
     j = PERCENT / 100
     least = j - STANDARD_ERRORS * (j * (1 - j) / REGISTERS) ** 0.5
     # equal registers agree in the bit, others by chance: agreement (1 + j) / 2 at similarity j
     agree = (1 + j) / 2
-    differ = int(BITS * (1 - agree + STANDARD_ERRORS * (agree * (1 - agree) / BITS) ** 0.5))
+    return least, int(BITS * (1 - agree + STANDARD_ERRORS * (agree * (1 - agree) / BITS) ** 0.5))
+
+
+def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes, fingerprints and the likelihood estimate do not rule out."""
+    least, differ = limits()
 
     def side(name: str, *columns: str) -> DataFrame:
         return nodes.select(F.col("node").alias(name), *[F.col(c).alias(c + name) for c in columns])
@@ -272,6 +283,116 @@ def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
 
 
+def led(rows: DataFrame) -> DataFrame:
+    """Bucket rows (key, node) of buckets of several, with the bucket's leader and size."""
+    leaders = materialize(
+        rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node")).alias("m"),
+                                F.count(F.lit(1)).alias("size"))
+        .where("size > 1").select("key", F.col("m.node").alias("leader"), "size"), "bucket-leaders")
+    return materialize(rows.join(leaders, "key"), "bucket-members")
+
+
+def leader_pairs(members: DataFrame) -> DataFrame:
+    """(key, node, size, a, b) of every member but the leader; (a, b) is its pair with the leader."""
+    return (members.where(F.col("node") != F.col("leader"))
+            .select("key", "node", "size", F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")))
+
+
+def left_out(members: DataFrame, likely: DataFrame) -> DataFrame:
+    """(key, node): members whose pair with the leader is not plausible, where there are others."""
+    return (leader_pairs(members.where("size > 2")).join(likely, ["a", "b"], "left_anti").select("key", "node"))
+
+
+def near_in_buckets(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows sorted by key: which have a near one in their bucket, and pairs of places that join.
+
+    Near is what sizes and fingerprints (and, where there is a column ``regs``, the share of
+    equal registers) do not rule out.  Pairs already known to be joined are not compared.
+    """
+    least, differ = limits()
+    key, n, f1, f2 = (rows[c].to_numpy() for c in ("key", "n", "f1", "f2"))
+    regs = np.frombuffer(b"".join(rows["regs"]), np.uint16).reshape(-1, REGISTERS) if "regs" in rows else None
+    rank = np.arange(len(key)) - np.searchsorted(key, key)
+    root, near = np.arange(len(key)), np.zeros(len(key), bool)
+    left, right = [], []
+    at = np.flatnonzero(rank >= 1)
+    k = 1
+    while len(at):
+        now = at[~(near[at] & near[at - k])] if regs is None else at[root[at] != root[at - k]]
+        a, b = n[now], n[now - k]
+        now = now[100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)]
+        now = now[np.bitwise_count(f1[now] ^ f1[now - k]).astype(int) + np.bitwise_count(f2[now] ^ f2[now - k]) <= differ]
+        if regs is not None:
+            same = [(regs[c] == regs[c - k]).mean(1) for c in np.array_split(now, len(now) // 4096 + 1)]
+            now = now[np.concatenate(same) >= least]
+        near[now] = near[now - k] = True
+        if regs is not None and len(now):
+            for x in now.tolist():
+                a, b = x, x - k
+                while root[a] != a:
+                    a = root[a]
+                while root[b] != b:
+                    b = root[b]
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    left.append(x)
+                    right.append(x - k)
+            while (root != root[root]).any():
+                root = root[root]
+        k += 1
+        at = at[rank[at] >= k]
+    return near, np.array(left, np.int64), np.array(right, np.int64)
+
+
+def crowd_tiles(rows: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
+    """(room, key, node, columns): bucket rows, each pair of a bucket's rows in some room.
+
+    A bucket of up to ``CROWD`` rows is one tile, and small buckets share a room; a pair of
+    tiles of a large one has its own.
+    """
+    sizes = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "crowd-sizes")
+    tiles = F.ceil(F.col("size") / F.lit(CROWD)).cast("int")
+    tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    spread = (rows.join(sizes, "key").withColumn("tiles", tiles).withColumn("tile", tile)
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))))
+    room = (F.when(F.col("tiles") > 1, F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")))
+            .otherwise(F.pmod(F.xxhash64("key"), F.lit(4096))))
+    return spread.select(room.alias("room"), "key", "node").join(nodes.select("node", *columns), "node")
+
+
+def crowd_pairs(members: DataFrame, likely: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): plausible pairs among the members that their bucket's leader left out.
+
+    Enough of them to connect what all of them connect, beside the further leaders' own.
+    """
+    found = likely.limit(0)
+    rows = materialize(left_out(members, likely), "left-out")
+    for _ in range(ROUNDS):
+        if rows.groupBy("key").count().where(F.col("count") > CROWD).isEmpty():
+            break
+        members = led(rows)
+        now = materialize(plausible(leader_pairs(members).select("a", "b").distinct(), nodes).distinct(), "likely-pairs")
+        found = found.unionByName(now)
+        rows = materialize(left_out(members, now), "left-out")
+
+    def mark(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("key", ignore_index=True)
+        return part.loc[near_in_buckets(part)[0], ["key", "node"]]
+
+    def join(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("key", ignore_index=True)
+        _, x, y = near_in_buckets(part)
+        a, b = part["node"].to_numpy()[x], part["node"].to_numpy()[y]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    # sketches are fetched for those only that have a near one by size and fingerprint
+    marked = materialize(crowd_tiles(rows, nodes, "n", "f1", "f2").groupBy("room")
+                         .applyInPandas(mark, "key long, node long").distinct(), "crowd-marked")
+    pairs = (crowd_tiles(marked, nodes, "n", "f1", "f2", "regs").groupBy("room")
+             .applyInPandas(join, "a long, b long"))
+    return found.unionByName(pairs)
+
+
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 
@@ -396,15 +517,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                         .select(F.col("doc_id").alias("node"), "n", "f1", "f2", "regs").distinct(), "set-nodes")
     texts = docs.select(F.col("doc_id").alias("node"), "text").where(F.col("node").isNotNull())
 
-    buckets = bucket_rows(nodes)
-    leaders = materialize(
-        buckets.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node")).alias("m"),
-                                   F.count(F.lit(1)).alias("size"))
-        .where("size > 1").select("key", F.col("m.node").alias("leader"), "size"), "bucket-leaders")
-    members = materialize(buckets.join(leaders, "key"), "bucket-members")
-    pairs = (members.where(F.col("node") != F.col("leader"))
-             .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
-    likely = materialize(plausible(pairs, nodes).distinct(), "likely-pairs")
+    members = led(bucket_rows(nodes))
+    first = materialize(plausible(leader_pairs(members).select("a", "b").distinct(), nodes).distinct(), "likely-pairs")
+    likely = materialize(first.unionByName(crowd_pairs(members, first, nodes)).distinct(), "likely-pairs")
     links = materialize(verified(likely, texts), "near-links")
     labels = connected_components(links).select(F.col("id").alias("node"), "component")
 

@@ -123,6 +123,25 @@ def test_tiles_find_what_leaders_miss(spark, monkeypatch):
     assert components(range(70), lambda i, j: frozenset((i, j)) in linked) == want
 
 
+def embedded_passage(n_long=600, n_words=140, own=60):
+    """Two near copies of a passage, beside longer documents that embed it."""
+    passage = [f"p{i}" for i in range(n_words)]
+    changed = list(passage)
+    for k in (20, 60, 100):
+        changed[k] = f"other{k}"
+    out = [(1, " ".join(passage)), (2, " ".join(changed))]
+    return out + [(100 + i, " ".join(passage + [f"d{i}w{k}" for k in range(own)])) for i in range(n_long)]
+
+
+@pytest.mark.parametrize("crowd", [64, 512])
+def test_copies_are_found_beside_longer_documents_that_embed_them(spark, monkeypatch, crowd):
+    monkeypatch.setattr(minhash, "CROWD", crowd)
+    docs = spark.createDataFrame(embedded_passage(), "doc_id long, text string")
+    rows = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert rows.pop(1) == rows.pop(2) == 1
+    assert all(i == c for i, c in rows.items())
+
+
 def test_one_of_each_stays(edge_docs, no_docs):
     kept = minhash.keep_one_of_each(edge_docs)
     assert kept.columns == edge_docs.columns
