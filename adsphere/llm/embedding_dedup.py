@@ -6,18 +6,22 @@ Vectors are compared only within a group: equal, non-NULL labels and equal lengt
 2. In each pass a class gets a key of ``BITS`` random-hyperplane signs.  Classes are ordered by
    group and key (lexicographically in the signs) and each is compared with the ``WINDOW``
    classes before it.  A pair at the threshold agrees in a sign with probability 0.936, so it
-   shares the leading signs that decide its neighbourhood in many of the ``PASSES`` passes.
+   shares the leading signs that decide its neighbourhood in many of the passes.  A larger
+   group takes more signs to decide a neighbourhood: the window grows with the largest group
+   and the passes of each group with its own size (:func:`window_for`, :func:`passes_for`).
 3. Verified pairs of all passes are joined by union-find, first inside each task, then over
    all tasks by connected components.
 4. Inside a component every pair is compared, in tiles of ``TILE`` classes, and links are
-   counted, not listed.  So a group of near copies wider than a window loses no link; only
-   a pair whose whole component no pass found can be missed.  Small components share
-   tasks; a large one is spread over as many tasks as it has pairs of tiles.
+   counted, not listed.  So a group of near copies wider than a window loses no link; what
+   can be missed are links that no pass found between documents of different components:
+   a pair found in no pass at all, or the only links between two components found apart.
+   Small components share tasks; a large one is spread over as many tasks as it has pairs
+   of tiles.
 
 Similarity is the cosine in double precision.
 
 Scale: a pass range-partitions its rows, so a hot label is many partitions; rows at the borders
-of partitions meet in groups of at most two windows.  The number of passes is a parameter.
+of partitions meet in groups of at most two windows.  Passes and window are parameters.
 
 Defined cases: a NULL label, a NULL or zero vector, and one with NULL or non-finite components
 link with nothing and are kept; NULL ``vec_id`` rows link with nothing and are kept; an empty
@@ -27,6 +31,7 @@ links of each other; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,9 +46,10 @@ from ..operators.components import connected_components
 from ..session import materialize
 
 COSINE = 0.98
-PASSES = 16
-BITS = 62
-WINDOW = 32
+PASSES = 16     # at least
+BITS = 128      # a multiple of 8
+WINDOW = 32     # at least
+WINDOW_ROWS = 10_000  # classes of a group from which the window grows
 TILE = 512
 PARTITION_ROWS = 50_000
 SEED = 20240101
@@ -51,7 +57,21 @@ SEED = 20240101
 
 def hyperplanes(dim: int, number: int) -> np.ndarray:
     """The normals of pass ``number``: dim × BITS."""
-    return np.random.default_rng([SEED, number, dim]).normal(size=(dim, BITS))
+    return np.random.default_rng([SEED, number, dim]).normal(size=(dim, BITS)).astype(np.float32)
+
+
+def window_for(largest: int) -> int:
+    """The window for a largest group of so many classes."""
+    return max(WINDOW, math.ceil(WINDOW * (largest / WINDOW_ROWS) ** (1 / 3)))
+
+
+def passes_for(size: F.Column, window: int) -> F.Column:
+    """The passes of a group of so many classes.
+
+    A pair shares the signs that leave a window of classes with probability
+    (size / window) ** -0.32, where the group's vectors have cosine 0.9 to each other.
+    """
+    return F.greatest(F.lit(PASSES), F.ceil(3 * F.pow(size / window, F.lit(1 / 3)))).cast("int")
 
 
 def vectors(raw: list[bytes], dim: int, width: int) -> np.ndarray:
@@ -68,29 +88,34 @@ def may_link() -> F.Column:
             & ~F.coalesce(odd, F.lit(True)) & F.coalesce(F.exists(x, lambda v: v != 0), F.lit(False)))
 
 
-def keyed(classes: DataFrame, passes: int) -> DataFrame:
-    """(node, grp, dim, vec, keys): vectors as bytes, one key per pass."""
+def keyed(classes: DataFrame) -> DataFrame:
+    """(node, grp, dim, vec, keys): vectors as bytes, one key for each of a row's ``passes``."""
     width = 4 if isinstance(classes.schema["embedding"].dataType.elementType, T.FloatType) else 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
-        shift = np.arange(BITS - 1, -1, -1, dtype=np.int64)
+        planes: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             dims = batch["dim"].to_numpy()
             for dim in np.unique(dims).tolist():
                 part = batch.filter(pa.array(dims == dim))
-                if dim not in planes:
-                    planes[dim] = np.hstack([hyperplanes(dim, p) for p in range(passes)])
                 raw = part["embedding"].flatten().to_numpy(zero_copy_only=False).astype(f"<f{width}")
                 rows = [r.tobytes() for r in raw.reshape(-1, dim)]
-                signs = vectors(rows, dim, width) @ planes[dim] > 0
-                keys = (signs.reshape(len(rows), passes, BITS).astype(np.int64) << shift).sum(2)
+                unit, own = vectors(rows, dim, width), part["passes"].to_numpy()
+                first = np.concatenate([[0], np.cumsum(own)])
+                keys = np.zeros((first[-1], BITS // 8), np.uint8)
+                for p in range(own.max()):
+                    if (dim, p) not in planes:
+                        planes[dim, p] = hyperplanes(dim, p)
+                    at = np.flatnonzero(own > p)
+                    keys[first[at] + p] = np.packbits(unit[at] @ planes[dim, p] > 0, axis=1)
+                flat = pa.Array.from_buffers(pa.binary(BITS // 8), len(keys), [None, pa.py_buffer(keys.tobytes())])
                 yield pa.RecordBatch.from_arrays(
                     [part["node"], part["grp"], part["dim"], pa.array(rows, pa.binary()),
-                     pa.array(keys.tolist(), pa.list_(pa.int64()))], names=["node", "grp", "dim", "vec", "keys"])
+                     pa.ListArray.from_arrays(pa.array(first, pa.int32()), flat.cast(pa.binary()))],
+                    names=["node", "grp", "dim", "vec", "keys"])
 
-    return classes.select("node", "grp", "dim", "embedding").mapInArrow(
-        run, "node long, grp string, dim int, vec binary, keys array<long>")
+    return classes.select("node", "grp", "dim", "embedding", "passes").mapInArrow(
+        run, "node long, grp string, dim int, vec binary, keys array<binary>")
 
 
 def joined(parent: dict[int, int], a: int, b: int) -> bool:
@@ -125,10 +150,10 @@ def window_links(group: np.ndarray, nodes: np.ndarray, unit: np.ndarray, window:
 EDGE = "kind int, a long, b long, part int, grp string, dim int, vec binary, at int"
 
 
-def pass_links(stored: DataFrame, passes: int, window: int, cosine: float, width: int, n_rows: int) -> DataFrame:
+def pass_links(stored: DataFrame, window: int, cosine: float, width: int, n_keys: int) -> DataFrame:
     """(src, dst): enough verified pairs of all passes to join what they join."""
     rows = stored.select("node", "grp", "dim", "vec", F.posexplode("keys").alias("pass", "key"))
-    parts = max(1, -(-n_rows * passes // PARTITION_ROWS))
+    parts = max(1, -(-n_keys // PARTITION_ROWS))
     ordered = (rows.repartitionByRange(parts, "pass", "grp", "dim", "key", "node")
                .sortWithinPartitions("pass", "grp", "dim", "key", "node"))
 
@@ -215,9 +240,12 @@ def link_counts(members: DataFrame, cosine: float, width: int) -> DataFrame:
             .groupBy("node").agg(F.sum("links").alias("links")))
 
 
-def near_duplicate_vectors(rows: DataFrame, cosine: float = COSINE, passes: int = PASSES,
-                           window: int = WINDOW) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of every row of (vec_id, embedding, label)."""
+def near_duplicate_vectors(rows: DataFrame, cosine: float = COSINE, passes: int | None = None,
+                           window: int | None = None) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) of every row of (vec_id, embedding, label).
+
+    Without ``passes`` and ``window`` both grow with the groups.
+    """
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label")
     width = 4 if isinstance(rows.schema["embedding"].dataType.elementType, T.FloatType) else 8
     good = rows.where(may_link()).select("vec_id", F.col("label").cast("string").alias("grp"),
@@ -225,8 +253,13 @@ def near_duplicate_vectors(rows: DataFrame, cosine: float = COSINE, passes: int
     exact = ["grp", "dim", "embedding"]
     classes = materialize(good.groupBy(*exact).agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")),
                           "vector-classes")
-    stored = materialize(keyed(classes, passes), "vector-keys")
-    links = materialize(pass_links(stored, passes, window, cosine, width, classes.count()).distinct(), "vector-links")
+    sizes = materialize(classes.groupBy("grp", "dim").agg(F.count(F.lit(1)).alias("size")), "vector-groups")
+    if window is None:
+        window = window_for(sizes.agg(F.max("size")).first()[0] or 0)
+    sizes = sizes.withColumn("passes", F.lit(passes) if passes else passes_for(F.col("size"), window))
+    n_keys = sizes.agg(F.sum(F.col("size") * F.col("passes"))).first()[0] or 0
+    stored = materialize(keyed(classes.join(sizes, ["grp", "dim"])), "vector-keys")
+    links = materialize(pass_links(stored, window, cosine, width, n_keys).distinct(), "vector-links")
     labels = materialize(connected_components(links).select(F.col("id").alias("node"), "component"), "vector-components")
     members = (stored.select("node", "dim", "vec").join(labels, "node")
                .join(classes.select("node", "copies"), "node"))

@@ -196,6 +196,24 @@ def test_vectors_match_brute_force(spark, kind, monkeypatch):
     assert embedding_dedup.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [1000, 6000])
+def test_isolated_pairs_are_found_in_dense_labels(spark, n):
+    """Vectors of cosine 0.9 to each other, some with one partner each; a narrow window stands for more rows."""
+    rng = np.random.default_rng(n)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(np.sqrt(0.9) * unit(rng.normal(size=64)) + np.sqrt(0.1) * unit(rng.normal(size=(n, 64))))
+    a, t = x[:200], rng.normal(size=(200, 64))
+    t = unit(t - (t * a).sum(1)[:, None] * a)
+    x = np.vstack([x, 0.981 * a + np.sqrt(1 - 0.981 ** 2) * t])
+    near = np.argwhere(np.triu(x @ x.T >= 0.98, 1))
+    assert len(near) >= 200
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    part = {r.vec_id: r.component_id for r in embedding_dedup.near_duplicate_vectors(df, window=2).collect()}
+    assert np.mean([part[i] == part[j] for i, j in near.tolist()]) >= 0.9
+
+
 def test_pipeline_matches_its_stages_done_plainly(spark, monkeypatch):
     import corpus_pipeline
     from adsphere.llm import packing, quality_rules, secrets, toxicity
