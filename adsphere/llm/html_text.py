@@ -4,7 +4,10 @@ The standard library's parser is fed the page in pieces and turned into lines: o
 block, with the number of text characters and of tags in it and the containers (article,
 main, section, div, …) it stands in.  Elements that never hold article text (scripts, styles,
 menus, headers and footers of the page, sidebars, forms, notices, adverts, comments) are left
-out by tag, by role and by the words of their class and id.
+out by tag, by role and by the words of their class and id.  Such words do not count on
+headings and paragraphs, in flags (``has-sidebar``), on elements that hold an article or main
+or, where the page has none, most of its text; inside an article and on sections a name
+counts only if nothing else is said in it (``comments``, not ``related-work``).
 
 Each remaining line has a text-to-tag ratio.  The ratios, smoothed with a Gaussian over
 neighbouring lines, are split by a threshold (a share of their standard deviation) into
@@ -42,6 +45,9 @@ CLOSES_ITSELF = {"p": frozenset(["p"]), "li": frozenset(["li"]), "dt": frozenset
                  "th": frozenset(["td", "th"]), "option": frozenset(["option"])}
 SCOPES = frozenset("ul ol dl table article section div main body html blockquote nav aside header footer form".split())
 CONTAINERS = frozenset("article main section div td blockquote".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+IN_HEAD = frozenset("title style script noscript template meta link base basefont bgsound noframes".split())
+UNSEEN = frozenset("script style noscript template head title iframe object svg canvas audio video math".split())
 
 #: Words of a class or id that mark what is not the article (fixed values).
 OTHER_WORDS = frozenset(
@@ -52,6 +58,12 @@ OTHER_WORDS = frozenset(
     "widget pagination pager copyright legal disclaimer search searchbox toc skip".split())
 OTHER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
                         "toolbar".split())
+#: Words that say nothing of their own beside those.
+PLAIN_WORDS = frozenset(
+    "area bar block body box button buttons center container content form group head icon icons inner item items left "
+    "link links list main outer page panel post posts primary right row section site slot title top bottom unit "
+    "view wrap wrapper".split())
+FLAG = re.compile(r"(?i)^(has|no|is|with|without)[-_]|[-_](enabled|disabled)$")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 SIGMA = 1.0       # of the Gaussian over lines
@@ -61,19 +73,41 @@ MAIN_SHARE = 0.2  # a cluster counts if it has this share of the largest cluster
 FEED = 1 << 16    # characters fed to the parser at once
 
 
-Line = tuple[str, int, int, tuple[int, ...]]
+#: Text, characters, tags, containers, characters in links, doubtful elements around it.  A
+#: left-out element is a line without characters.
+Line = tuple[str, int, int, tuple[int, ...], int, tuple[int, ...]]
+LINKS = 0.5  # of a line's characters in links: the line is mostly links
+MOST = 0.5   # of a page's text
+
+
+def named_other(value: str, strict: bool) -> tuple[bool, bool]:
+    """Whether a class or id names what is not the article, and whether it says nothing else."""
+    some = False
+    for name in value.split():
+        if FLAG.search(name):
+            continue
+        words = {w.lower() for w in WORD.findall(name)}
+        if not OTHER_WORDS.isdisjoint(words):
+            if words <= OTHER_WORDS | PLAIN_WORDS:
+                return True, True
+            some = not strict
+    return some, False
 
 
 class Lines(HTMLParser):
-    """Parser events → lines (text, characters, tags, containers from the outermost in)."""
+    """Parser events → lines, containers from the outermost in."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, tuple[int, ...], bool]] = []  # element, left out, containers, in article
+        # element, left out, containers, in article, doubtful elements around it
+        self.open: list[tuple[str, bool, tuple[int, ...], bool, tuple[int, ...]]] = []
         self.lines: list[Line] = []
         self.parts: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = self.links = 0
         self.containers = 0
+        self.articles: dict[int, int] = {}  # container → 1 for main, 2 for article
+        self.doubtful: list[bool] = []      # whether the name says nothing else
+        self.holders: set[int] = set()      # doubtful elements that hold an article or main
 
     @property
     def out(self) -> bool:
@@ -87,12 +121,17 @@ class Lines(HTMLParser):
     def article(self) -> bool:
         return bool(self.open) and self.open[-1][3]
 
+    @property
+    def doubts(self) -> tuple[int, ...]:
+        return self.open[-1][4] if self.open else ()
+
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, len(text), self.tags, self.path))
+            self.lines.append((text, len(text), self.tags, self.path, min(self.linked, len(text)), self.doubts))
             self.tags = 0
         self.parts = []
+        self.linked = 0
 
     def left_out(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in NEVER:
@@ -102,39 +141,69 @@ class Lines(HTMLParser):
         if tag == "header" and not self.article:
             return True
         for name, value in attrs:
-            if name in ("class", "id") and value and not OTHER_WORDS.isdisjoint(w.lower() for w in WORD.findall(value)):
-                return True
             if name == "role" and value and value.lower() in OTHER_ROLES:
                 return True
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True
         return False
 
+    def doubt(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[int, ...]:
+        """The number of the element if its class or id speaks against it."""
+        if tag in HEADING or tag in ("p", "html", "body", "main", "article"):
+            return ()
+        found = [named_other(value, self.article or tag == "section")
+                 for name, value in attrs if name in ("class", "id") and value]
+        if not any(some for some, _ in found):
+            return ()
+        self.doubtful.append(any(only for _, only in found))
+        return (len(self.doubtful) - 1,)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.tags += 1
+        if self.open and self.open[-1][0] == "head" and tag not in IN_HEAD:
+            self.cut(len(self.open) - 1)  # </head> is optional
         if tag == "br":
             self.parts.append(" ")
         if tag not in INLINE:
             self.flush()
         if tag in VOID:
+            self.tags += not self.out
             return
         if tag in CLOSES_ITSELF:
             self.close_open(CLOSES_ITSELF[tag])
         elif tag not in INLINE:
             self.close_open(frozenset(["p"]))
         out = self.out or self.left_out(tag, attrs)
+        if out and not self.out and tag not in UNSEEN:
+            self.lines.append(("", 0, 0, self.path, 0, self.doubts))
+        doubts = self.doubts if out else self.doubts + self.doubt(tag, attrs)
+        if len(doubts) > len(self.doubts):
+            self.flush()
+        self.tags += not out
         path = self.path
         if tag in CONTAINERS:
             self.containers += 1
             path += (self.containers,)
-        self.open.append((tag, out, path, self.article or tag == "article"))
+            if tag in ("article", "main") and not out:
+                self.articles[self.containers] = 1 + (tag == "article")
+                self.holders.update(doubts)
+        self.links += tag == "a"
+        self.open.append((tag, out, path, self.article or tag == "article", doubts))
+
+    def cut(self, at: int) -> None:
+        """Close the open elements from place ``at`` on."""
+        before = self.open[at - 1][4] if at else ()
+        if len(self.doubts) > len(before):
+            self.flush()
+            self.tags = 0  # those of the doubtful element do not count for the next line
+        self.links -= sum(e[0] == "a" for e in self.open[at:])
+        del self.open[at:]
 
     def close_open(self, tags: frozenset) -> None:
         """Close the nearest open element of ``tags`` within the current scope."""
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] in tags:
                 self.flush()
-                del self.open[i:]
+                self.cut(i)
                 return
             if self.open[i][0] in SCOPES:
                 return
@@ -145,26 +214,49 @@ class Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        self.tags += 1
+        self.tags += not self.out
         if tag not in INLINE:
             self.flush()
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
-                del self.open[i:]
+                self.cut(i)
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and data.strip():
+            self.cut(len(self.open) - 1)
         if not self.out:
             self.parts.append(data)
-
-
-def page_lines(html: str) -> list[Line]:
+            if self.links:
+                self.linked += len(data.strip())
+
+    def dropped(self) -> set[int]:
+        """The doubtful elements to leave out."""
+        size = np.zeros(len(self.doubtful), np.int64)
+        inside = np.zeros(len(self.doubtful), np.int64)
+        total = other = 0
+        for _, n, _, path, _, doubts in self.lines:
+            total += n
+            in_article = any(c in self.articles for c in path)
+            other += n * in_article
+            for d in doubts:
+                size[d] += n
+                inside[d] += n * in_article
+        return {d for d, only in enumerate(self.doubtful) if d not in self.holders
+                and (only or other > inside[d] or size[d] <= MOST * total)}
+
+
+def page_lines(html: str) -> tuple[list[Line], dict[int, int]]:
+    """The page's lines, left-out elements among them, and which containers are articles."""
     parser = Lines()
     for i in range(0, len(html), FEED):
         parser.feed(html[i:i + FEED])
     parser.close()
     parser.flush()
-    return parser.lines
+    dropped = parser.dropped()
+    lines = [line if dropped.isdisjoint(line[5]) else ("", 0, 0, line[3], 0, ()) for line in parser.lines]
+    # an element named like the rest that holds all there is
+    return (lines if any(line[1] for line in lines) else parser.lines), parser.articles
 
 
 def smoothed(ratio: np.ndarray) -> np.ndarray:
@@ -175,13 +267,14 @@ def smoothed(ratio: np.ndarray) -> np.ndarray:
     return np.convolve(ratio, kernel)[RADIUS:len(ratio) + RADIUS] / weight
 
 
-def content_region(lines: list[Line]) -> list[bool]:
+def content_region(every: list[Line], articles: dict[int, int]) -> list[bool]:
     """Which lines are the article."""
-    own = np.array([n / max(t, 1) for _, n, t, _ in lines])  # text characters per tag
+    lines = [line for line in every if line[1]]
+    own = np.array([line[1] / max(line[2], 1) for line in lines])  # text characters per tag
     ratios = smoothed(own)
     threshold = THRESHOLD * ratios.std()
     content = ratios >= threshold
-    size = np.array([n for _, n, _, _ in lines])
+    size = np.array([line[1] for line in lines])
     edges = np.flatnonzero(np.diff(np.concatenate([[0], content, [0]]).astype(np.int8)))
     clusters = [(a, b, size[a:b].sum()) for a, b in zip(edges[::2], edges[1::2], strict=True)]
     largest = max(c[2] for c in clusters)
@@ -189,18 +282,20 @@ def content_region(lines: list[Line]) -> list[bool]:
     # lines that only their neighbours lift over the threshold do not widen the container
     shared = os.path.commonprefix([lines[i][3] for a, b, _ in chosen for i in range(a, b) if own[i] >= threshold])
     if shared:
-        return [path[:len(shared)] == shared for *_, path in lines]
-    return [chosen[0][0] <= i < chosen[-1][1] for i in range(len(lines))]
+        return [line[1] > 0 and line[3][:len(shared)] == shared for line in every]
+    places = [i for i, line in enumerate(every) if line[1]]
+    first, last = places[chosen[0][0]], places[chosen[-1][1] - 1]
+    return [line[1] > 0 and first <= i <= last for i, line in enumerate(every)]
 
 
 def main_text(html: str | None) -> str:
     """The page's article: its blocks in order, one per line."""
     if not html:
         return ""
-    lines = page_lines(html)
-    if not lines:
+    lines, articles = page_lines(html)
+    if not any(line[1] for line in lines):
         return ""
-    return "\n".join(line[0] for line, keep in zip(lines, content_region(lines), strict=True) if keep)
+    return "\n".join(line[0] for line, keep in zip(lines, content_region(lines, articles), strict=True) if keep)
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

@@ -137,3 +137,20 @@ def test_region_comes_from_the_ratio():
     teasers = "".join(f"<p><span><a><i>t{i}</i></a></span><span><a>more</a></span></p>" for i in range(12))
     html = f"<body><section><div>{teasers}</div></section><section><p>{'Real article words here. ' * 20}</p><p>End.</p></section>"
     assert html_text.main_text(html).startswith("Real article") and html_text.main_text(html).endswith("End.")
+
+
+LONG = "Real article words stand here in a row. " * 8
+MENU = "<ul>" + "".join(f"<li><a href='/{i}'>item {i}</a></li>" for i in range(8)) + "</ul>"
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    (f"<body><div class='layout has-sidebar'><div class='sidebar'>{MENU}</div><div><p>{LONG}</div></div>", LONG.strip()),
+    (f"<body class='no-sidebar toc-enabled'><div class='page-search-wrap'><article><p>{LONG}</article></div>", LONG.strip()),
+    (f"<div class='search-algorithms'><p>{LONG}</div>", LONG.strip()),
+    (f"<article><p>{LONG}<h2 id='legal-issues'>Legal issues</h2><section id='related-work'><p>Work.</section>"
+     "<div id='comments'>hi</div></article>", LONG.strip() + "\nLegal issues\nWork."),
+    (f"<html><head><title>t</title><meta charset=utf-8><body><main><article><p>{LONG}</article></main>", LONG.strip()),
+    (f"<head><title>t</title><p>{LONG}", LONG.strip()),
+])
+def test_names_and_open_heads_do_not_empty_pages(html, text):
+    assert html_text.main_text(html) == text
