@@ -12,8 +12,10 @@ counts only if nothing else is said in it (``comments``, not ``related-work``).
 Each remaining line has a text-to-tag ratio.  The ratios, smoothed with a Gaussian over
 neighbouring lines, are split by a threshold (a share of their standard deviation) into
 content and other lines; runs of content lines are clusters.  The clusters that hold most of
-the text set the content region: the innermost container that holds them all, or, where they
-have none but the page itself, everything from the first to the last of them.  Every line
+the text set the content region: the innermost container that holds them all, widened to the
+article or main around it or, where there is none, to the outermost container that adds no
+left-out element and no line of mostly links; where they have none but the page itself,
+everything from the first to the last of them, widened as far in the same way.  Every line
 inside the region is kept, however short: the ratio chooses regions, it does not drop
 paragraphs.
 
@@ -281,10 +283,25 @@ def content_region(every: list[Line], articles: dict[int, int]) -> list[bool]:
     chosen = [c for c in clusters if c[2] >= MAIN_SHARE * largest]
     # lines that only their neighbours lift over the threshold do not widen the container
     shared = os.path.commonprefix([lines[i][3] for a, b, _ in chosen for i in range(a, b) if own[i] >= threshold])
+    foreign = [not n or linked > LINKS * n for _, n, _, _, linked, _ in every]
+    around = [(-articles[c], i) for i, c in enumerate(shared) if c in articles]
+    if around:  # the outermost article, or main where there is no article
+        shared = shared[:min(around)[1] + 1]
+    elif shared:
+        depth = len(shared)
+        alien = [os.path.commonprefix([line[3], shared]) for line, f in zip(every, foreign, strict=True) if f]
+        near = max((len(a) for a in alien if len(a) < depth), default=-1)
+        if near < 0:
+            return [line[1] > 0 for line in every]
+        shared = shared[:near + 1]
     if shared:
         return [line[1] > 0 and line[3][:len(shared)] == shared for line in every]
     places = [i for i, line in enumerate(every) if line[1]]
     first, last = places[chosen[0][0]], places[chosen[-1][1] - 1]
+    while first > 0 and not foreign[first - 1]:
+        first -= 1
+    while last + 1 < len(every) and not foreign[last + 1]:
+        last += 1
     return [line[1] > 0 and first <= i <= last for i, line in enumerate(every)]
 
 

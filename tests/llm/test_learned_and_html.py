@@ -143,6 +143,19 @@ LONG = "Real article words stand here in a row. " * 8
 MENU = "<ul>" + "".join(f"<li><a href='/{i}'>item {i}</a></li>" for i in range(8)) + "</ul>"
 
 
+@pytest.mark.parametrize("html", [
+    f"<body><nav>{MENU}</nav><article><h1>Title</h1><p>By A. Writer<div><p>{LONG}<p>{LONG}</div></article></body>",
+    f"<body>{MENU}<div><h1>Title</h1><p>By A. Writer<div><p>{LONG}<p>{LONG}</div></div></body>",
+    f"<body><nav>m</nav><div><h1>Title</h1><section><p>By A. Writer</section><section><p>{LONG * 30}</section></div></body>",
+    f"<body><nav>m</nav><h1>Title</h1><ul><li>By A. Writer</ul><p>{LONG}<p>{LONG}<footer>f</footer></body>",
+    f"<body><nav>m</nav><main><h1>Title</h1><p>By A. Writer<blockquote><p>{LONG * 30}</blockquote><p>End.</main></body>",
+])
+def test_region_holds_the_whole_article(html):
+    lines = html_text.main_text(html).split("\n")
+    assert lines[:2] == ["Title", "By A. Writer"] and lines[2].startswith("Real article")
+    assert not any(line.startswith(("item", "m", "f")) for line in lines)
+
+
 @pytest.mark.parametrize(("html", "text"), [
     (f"<body><div class='layout has-sidebar'><div class='sidebar'>{MENU}</div><div><p>{LONG}</div></div>", LONG.strip()),
     (f"<body class='no-sidebar toc-enabled'><div class='page-search-wrap'><article><p>{LONG}</article></div>", LONG.strip()),
