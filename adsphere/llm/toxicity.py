@@ -47,6 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .tokens import byte_slices
 
 SAMPLE_TOXIC = 1000
@@ -383,17 +384,22 @@ def held_out(doc_id: Column) -> Column:
 
 def training_sample(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPLE_TOXIC,
                     sample_clean: int = SAMPLE_CLEAN) -> DataFrame:
-    """(text, toxic) of a bounded sample of labelled documents that are not held out."""
+    """(doc_id, text, toxic) of a bounded sample of labelled documents that are not held out.
+
+    Only ids with a text short enough are drawn, and each gives one row (its least such text).
+    """
+    fits = docs.where(F.length("text") <= MAX_FIT_CHARS).select("doc_id", "text")
     known = (labels.select("doc_id", "toxic").where(F.col("toxic").isin(0, 1))
              .where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    known = materialize(known.join(fits.select("doc_id").distinct(), "doc_id", "left_semi"), "toxicity-known")
     order = F.xxhash64("doc_id")
     chosen = None
     for y, k in ((1, sample_toxic), (0, sample_clean)):
         part = known.where(F.col("toxic") == y).orderBy(order, "doc_id").limit(k)
         chosen = part if chosen is None else chosen.unionByName(part)
-    fits = docs.where(F.length("text") <= MAX_FIT_CHARS).select("doc_id", "text")
-    return fits.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")  # at most the two sample sizes
+    return (fits.join(F.broadcast(chosen), "doc_id")  # at most the two sample sizes
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:

@@ -83,6 +83,20 @@ def test_held_out_labels_teach_nothing(spark):
     assert a == b
 
 
+def test_sample_is_full_and_bounded(spark):
+    """Long texts use up no place in the sample, and a repeated id gives one row."""
+    docs, labels = made_documents()
+    free = [i for i, *_ in docs if zlib.crc32(str(i).encode()) % 3 != 1]
+    short = {y: [i for i in free if (i % 5 == 0) == y][-5:] for y in (True, False)}
+    keep = set(short[True] + short[False])
+    docs = [(i, text if i in keep else text + " long" * 5000) for i, text in docs]
+    docs += [d for d in docs if d[0] == short[False][0]] * 50
+    rows = toxicity.training_sample(spark.createDataFrame(docs, "doc_id long, text string"),
+                                    spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), 5, 5).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(keep)
+    assert all(r.toxic == (r.doc_id % 5 == 0) for r in rows)
+
+
 def test_toxicity_edge_cases(spark, edge_docs, no_docs, small):
     labels = small("labels")
     rows = toxicity.toxicity_report(edge_docs, labels).collect()
