@@ -10,6 +10,7 @@ from . import (
     bpe_codec,
     embedding_dedup,
     html_text,
+    merkle,
     minhash,
     packing,
     quality_rules,
@@ -18,6 +19,7 @@ from . import (
     token_output,
     toxicity,
 )
+from .oracles import ORACLES
 from .tables import table
 
 
@@ -61,9 +63,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_html_text, op3_quality_rules, op4_minhash, op5_sharding, op6_packing,
                                      op7_token_output, op8_bpe_codec, op9_embedding_dedup,
-                                     op10_secret_scan)}
+                                     op10_secret_scan, op12_merkle)}
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
