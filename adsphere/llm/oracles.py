@@ -74,4 +74,32 @@ SELECT p.doc_id, p.leaf, s.subroot, r.root, sha256(coalesce(w.siblings, '')) AS
 FROM placed p JOIN subroots s USING (tree) JOIN folded f USING (id) LEFT JOIN way w USING (id) CROSS JOIN root r
 """
 
-ORACLES: dict[str, str] = {"op12_merkle": OP12}
+OP11 = """
+WITH items AS (
+    SELECT row_number() OVER () AS id, vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+    SELECT a.id AS anchor, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM items a JOIN items b ON a.vec_id % 100 = 0
+),
+positives AS (
+    SELECT anchor, anchor_id, vec_id AS positive_id, score AS positive_score,
+           row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS o
+    FROM scores WHERE same AND vec_id <> anchor_id QUALIFY o <= 5
+),
+ranked AS (
+    SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor, p.o ORDER BY s.score DESC, s.vec_id) AS r
+    FROM positives p JOIN scores s ON s.anchor = p.anchor AND NOT s.same
+     AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, r::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE r <= 10
+"""
+
+ORACLES: dict[str, str] = {"op11_hard_negatives": OP11, "op12_merkle": OP12}

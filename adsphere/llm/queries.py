@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     bpe_codec,
     embedding_dedup,
+    hard_negatives,
     html_text,
     merkle,
     minhash,
     packing,
+    quality_model,
     quality_rules,
     secrets,
     sharding,
@@ -63,13 +65,22 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_html_text, op3_quality_rules, op4_minhash, op5_sharding, op6_packing,
                                      op7_token_output, op8_bpe_codec, op9_embedding_dedup,
-                                     op10_secret_scan, op12_merkle)}
+                                     op10_secret_scan, op11_hard_negatives, op12_merkle,
+                                     op13_quality_model)}
 
 __all__ = ["ORACLES", "QUERIES"]
