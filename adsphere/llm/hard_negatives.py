@@ -306,13 +306,15 @@ def searched(blocks: DataFrame, windows: DataFrame, k: int, same: bool) -> DataF
                 names=["key", "slot", "vec_id", "score"])
 
     out = None
-    rows = blocks.withColumn("_one", F.lit(1))
-    for (g,) in sizes.select("grp").distinct().orderBy("grp").collect():  # a row per GROUP_BYTES of anchors
-        part = queries.join(F.broadcast(sizes.where(F.col("grp") == g)), "block", "left_semi")
-        part = part.select(F.lit(1).alias("_one"), "block", F.struct(*[c for c in queries.columns if c != "block"]).alias("query"))
+    numbers: dict[int, list[int]] = {}
+    for r in sizes.collect():  # a number per ANCHORS anchors
+        numbers.setdefault(r["grp"], []).append(r["block"])
+    for some in numbers.values():
         # at most GROUP_BYTES and one block, by the running sum above
-        found = rows.join(F.broadcast(part), "_one").drop("_one").mapInArrow(
-            run, "key long, slot int, vec_id long, score long")
+        part = queries.where(F.col("block").isin(some)).select(
+            "block", F.struct(*[c for c in queries.columns if c != "block"]).alias("query"))
+        rows = blocks.withColumn("block", F.explode(F.lit(some).cast("array<long>")))
+        found = rows.join(F.broadcast(part), "block").mapInArrow(run, "key long, slot int, vec_id long, score long")
         out = found if out is None else out.unionByName(found)
     if out is None:
         out = blocks.sparkSession.createDataFrame([], "key long, slot int, vec_id long, score long")
