@@ -35,9 +35,10 @@ empty table gives an empty result; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .tokens import byte_slices
+from .tokens import byte_slices, ragged
 
 SAMPLE_TOXIC = 1000
 SAMPLE_CLEAN = 2000
@@ -64,11 +65,18 @@ COPY_SHARED = 6
 MIN_TOXIC_DOCS = 3   # documents that carry a mark
 MAX_CLEAN_RATE = 0.1  # of a mark's document rate among clean documents to that among toxic ones
 STEPS = 60
+RUN_TOKENS = 50_000   # of the sample, in one call of the recursion
 RATE = 0.3
 PENALTY = 1e-4
 MAX_WORDS = 400_000  # cached words per worker; beyond it the cache starts anew
 
 
+def folded(text: str) -> str:
+    """The text in lower case, of the same length: a character whose lower case is several keeps its own."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
 def features(word: str) -> list[str]:
     """Names of a word's features."""
     out = ["w " + word]
@@ -184,7 +192,7 @@ def llr(k1, n1, k2, n2):
     return 2 * (term(k1, n1, k1 / n1) + term(k2, n2, k2 / n2) - term(k1, n1, p) - term(k2, n2, p))
 
 
-def without_copies(word_sets: list[set[str]]) -> list[int]:
+def without_copies(word_sets: Iterable[set[str]]) -> list[int]:
     """Indices of the documents that are no near copy of an earlier one."""
     kept: list[int] = []
     holders: dict[int, list[int]] = {}
@@ -205,25 +213,26 @@ def without_copies(word_sets: list[set[str]]) -> list[int]:
     return kept
 
 
-def toxic_marks(word_sets: list[set[str]], labels: np.ndarray) -> set[str]:
-    """Names of features that mark a token as toxic."""
-    seen: dict[str, list[int]] = {}
-    names: dict[str, list[str]] = {}
-    for words, y in zip(word_sets, labels.tolist(), strict=True):
-        found = set()
-        for w in words:
-            if w not in names:
-                names[w] = features(w)
-            found.update(names[w])
-        for f in found:
-            seen.setdefault(f, [0, 0])[y] += 1
-    keys = list(seen)
-    counts = np.array([seen[k] for k in keys], float).reshape(-1, 2)
+def toxic_marks(doc_words: list[np.ndarray], labels: np.ndarray, owner: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """Whether each feature marks a token as toxic.
+
+    ``doc_words`` holds each document's word numbers; word ``owner[i]`` has feature ``name[i]``, ``owner`` ascending.
+    """
+    names = int(name.max(initial=-1)) + 1
+    first = np.searchsorted(owner, np.arange(int(owner.max(initial=-1)) + 2))
+    counts = np.zeros((2, names))
+    for words, y in zip(doc_words, labels.tolist(), strict=True):
+        words = np.unique(words)
+        found = np.unique(name[ragged(first[words], first[words + 1] - first[words])])
+        counts[y, found] += 1
     n1, n0 = labels.sum(), len(labels) - labels.sum()
-    k0, k1 = counts[:, 0], counts[:, 1]
-    least = 2 * np.log(max(2, len(keys)))  # by chance, about one of all candidates gets this far
-    good = ((k1 >= MIN_TOXIC_DOCS) & (k0 / n0 <= MAX_CLEAN_RATE * k1 / n1) & (llr(k1, n1, k0, n0) >= least))
-    return {keys[i] for i in np.flatnonzero(good)}
+    k0, k1 = counts
+    least = 2 * np.log(max(2, names))  # by chance, about one of all candidates gets this far
+    return (k1 >= MIN_TOXIC_DOCS) & (k0 / n0 <= MAX_CLEAN_RATE * k1 / n1) & (llr(k1, n1, k0, n0) >= least)
+
+
+def _name_number(name: str) -> int:
+    return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "little")
 
 
 def aggregates(marginal: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -246,37 +255,65 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     if len(set(toxic)) < 2:
         return Model(np.zeros(1), 0.0, np.zeros((2, 2)), np.zeros(2), np.zeros(4),
                      float(labels.mean()) if len(labels) else 0.0)
-    tokens = [TOKEN.findall(t.lower()) for t in texts]
-    single = without_copies([set(t) for t in tokens])
-    tokens, labels = [tokens[i] for i in single], labels[single]
-    marks = toxic_marks([set(t) for t in tokens], labels)
     index: dict[str, int] = {}
-    word = np.array([index.setdefault(w, len(index)) for t in tokens for w in t], np.int64)
-    n = np.array([len(t) for t in tokens])
+    docs: list[np.ndarray] = []
+
+    def word_sets() -> Iterator[set[str]]:
+        for t in texts:
+            words = TOKEN.findall(folded(t))
+            docs.append(np.fromiter((index.setdefault(w, len(index)) for w in words), np.int32, len(words)))
+            yield set(words)
+
+    single = without_copies(word_sets())
+    docs, labels = [docs[i] for i in single], labels[single]
+    n = np.array([len(d) for d in docs])
+    # only words of the documents that stay, in the order in which they were met
+    held, word = np.unique(np.concatenate([*docs, np.zeros(0, np.int32)]), return_inverse=True)
+    word = word.astype(np.int32)
+    spelled = list(index)
+    spelled = [spelled[i] for i in held.tolist()]
+    del index
     bounds = np.concatenate([[0], np.cumsum(n)])
     first = np.zeros(len(word), bool)
     first[bounds[:-1][n > 0]] = True
-    names = [features(w) for w in index]
-    marked = np.array([any(f in marks for f in fs) for fs in names], bool)
+    # words × features as index arrays: the feature's own number for the marks, its hash for the weights
+    sizes = np.fromiter((len(features(w)) for w in spelled), np.int32, len(spelled))
+    owner = np.repeat(np.arange(len(spelled), dtype=np.int32), sizes)
+    name = np.fromiter((_name_number(f) for w in spelled for f in features(w)), np.uint64, len(owner))
+    column = np.fromiter((_hashed(f) for w in spelled for f in features(w)), np.int32, len(owner))
+    name = np.unique(name, return_inverse=True)[1].astype(np.int32)
+    marks = toxic_marks([word[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], labels, owner, name)
+    marked = np.zeros(len(spelled), bool)
+    marked[owner[marks[name]]] = True
+    del name
     tag = marked[word] & np.repeat(labels == 1, n)
-    # words × hashed features as two index arrays
-    owner = np.repeat(np.arange(len(names)), [len(f) for f in names])
-    column = np.fromiter((_hashed(f) for fs in names for f in fs), np.int64, len(owner))
     used, column = np.unique(column, return_inverse=True)
+    column = column.astype(np.int32)
     inner = ~first
     observed = np.zeros((2, 2))
     np.add.at(observed, (tag[:-1][inner[1:]].astype(int), tag[1:][inner[1:]].astype(int)), 1)
     opened = np.bincount(tag[first].astype(int), minlength=2)
-    positives = np.bincount(word, tag, len(names))
+    positives = np.bincount(word, tag, len(spelled))
+    words_n = len(spelled)
+    # runs of whole documents of about RUN_TOKENS tokens
+    cuts = bounds[np.unique(np.searchsorted(bounds, np.arange(0, bounds[-1] + RUN_TOKENS, RUN_TOKENS)).clip(max=len(n)))]
+
+    def marginals_of(emission, transitions, start):
+        """Each token's marginal and the expected transitions, a run at a time."""
+        marginal, expected = np.empty(len(word)), np.zeros((2, 2))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            marginal[a:b], part = chain_marginals(emission[word[a:b]], first[a:b], transitions, start, pairs=True)
+            expected += part
+        return marginal, expected
 
     weights, bias = np.zeros(len(used)), -4.0
     transitions, start = np.zeros((2, 2)), np.zeros(2)
     sums = [np.full_like(weights, 1e-8), 1e-8, np.full((2, 2), 1e-8), np.full(2, 1e-8)]
     scale = 1.0 / max(1, tag.sum())
     for _ in range(STEPS):  # ascent with per-weight step sizes (AdaGrad)
-        emission = bias + np.bincount(owner, weights[column], len(names))
-        marginal, expected = chain_marginals(emission[word], first, transitions, start, pairs=True)
-        miss = positives - np.bincount(word, marginal, len(names))
+        emission = bias + np.bincount(owner, weights[column], words_n)
+        marginal, expected = marginals_of(emission, transitions, start)
+        miss = positives - np.bincount(word, marginal, words_n)
         grads = [scale * np.bincount(column, miss[owner], len(used)) - PENALTY * weights, scale * miss.sum(),
                  scale * (observed - expected) - PENALTY * transitions,
                  scale * (opened - np.array([(1 - marginal[first]).sum(), marginal[first].sum()])) - PENALTY * start]
@@ -285,8 +322,7 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
         weights, bias, transitions, start = (weights + move[0], bias + move[1], transitions + move[2], start + move[3])
     table = np.zeros(1 << BITS)
     table[used] = weights
-    emission = bias + np.bincount(owner, weights[column], len(names))
-    marginal, _ = chain_marginals(emission[word], first, transitions, start)
+    marginal, _ = marginals_of(bias + np.bincount(owner, weights[column], words_n), transitions, start)
     x = np.hstack([np.ones((len(n), 1)), aggregates(marginal, bounds)])
     return Model(table, float(bias), transitions, start, _logistic(x, labels))
 
@@ -319,12 +355,11 @@ class Scorer:
     def emission(self, word: str) -> float:
         return self.model.bias + float(sum(self.model.weights[_hashed(f)] for f in features(word)))
 
-    def marginals(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """(marginal of each token, bounds of documents, lower-cased texts)."""
+    def marginals(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(marginal of each token, bounds of documents)."""
         if len(self.words) > MAX_WORDS:
             self.words.clear()
-        lower = [t.lower() for t in texts]
-        tokens = [TOKEN.findall(t) for t in lower]
+        tokens = [TOKEN.findall(folded(t)) for t in texts]
         n = np.fromiter(map(len, tokens), np.int64, len(tokens))
         flat = pa.array([w for t in tokens for w in t], pa.string()).dictionary_encode()
         distinct = flat.dictionary.to_pylist()
@@ -337,25 +372,24 @@ class Scorer:
         first = np.zeros(len(scores), bool)
         first[bounds[:-1][n > 0]] = True
         marginal, _ = chain_marginals(scores, first, self.model.transitions, self.model.start)
-        return marginal, bounds, lower
+        return marginal, bounds
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
         """(score, toxic spans) of each text; a span is a start and an end in code points."""
         if self.model.constant is not None:
             return np.full(len(texts), self.model.constant), [[] for _ in texts]
-        marginal, bounds, lower = self.marginals(texts)
+        marginal, bounds = self.marginals(texts)
         x = aggregates(marginal, bounds)
         z = self.model.document[0] + x @ self.model.document[1:]
         spans: list[list[tuple[int, int]]] = []
         hot = marginal >= 0.5
         any_hot = np.concatenate([[0], np.cumsum(hot)])
-        for i, text in enumerate(lower):
+        for i, text in enumerate(texts):
             a, b = int(bounds[i]), int(bounds[i + 1])
             found: list[tuple[int, int]] = []
-            # lower-casing changes the length of very few texts; those keep no offsets of their own
-            if any_hot[b] > any_hot[a] and len(text) == len(texts[i]):
+            if any_hot[b] > any_hot[a]:
                 flags, last = hot[a:b], -2
-                for k, m in enumerate(TOKEN.finditer(text)):
+                for k, m in enumerate(TOKEN.finditer(folded(text))):
                     if flags[k]:
                         if last == k - 1:
                             found[-1] = (found[-1][0], m.end())

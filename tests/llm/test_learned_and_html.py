@@ -181,3 +181,21 @@ def test_region_holds_the_whole_article(html):
 ])
 def test_names_and_open_heads_do_not_empty_pages(html, text):
     assert html_text.main_text(html) == text
+
+
+def test_runs_of_the_sample_change_nothing(monkeypatch):
+    texts = ["you zorkish fool again", "a fine zorkish day", "plain words here", "nothing to see", "zorkish", ""] * 30
+    texts = [f"{t} {i % 7} w{i}x" for i, t in enumerate(texts)]
+    labels = [int("zorkish" in t) for t in texts]
+    whole = toxicity.fit(texts, labels)
+    monkeypatch.setattr(toxicity, "RUN_TOKENS", 13)
+    split = toxicity.fit(texts, labels)
+    assert np.allclose(whole.weights, split.weights) and np.allclose(whole.document, split.document)
+
+
+def test_spans_where_lower_case_is_longer():
+    texts = [f"a {w} day number {i}" for i in range(40) for w in ("zorkish", "sunny", "rainy")]
+    model = toxicity.fit(texts, [int("zorkish" in t) for t in texts])
+    text = "İİ zorkish day"
+    scores, spans = toxicity.Scorer(model).score([text, text.replace("İ", "i")])
+    assert spans[0] == spans[1] == [(3, 10)] and abs(scores[0] - scores[1]) < 0.2
