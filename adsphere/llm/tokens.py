@@ -9,7 +9,8 @@ piece once and looks the others up.
 
 A batch is cut, numbered and put together by Arrow and numpy; Python objects are made for a
 batch's distinct pieces only.  The cache is bounded: it is emptied when it holds
-``MAX_CACHED`` pieces, which costs time and changes no result.
+``MAX_CACHED`` pieces, which costs time and changes no result, and pieces of more than
+``MAX_CACHED_CHARS`` are kept for their batch only.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow.compute as pc
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 MAX_CACHED = 1_000_000
-MAX_CACHED_CHARS = 64  # a longer piece is encoded whenever it is met
+MAX_CACHED_CHARS = 64  # a longer piece is encoded in every batch that holds it
 BATCH_BYTES = 16 << 20
 
 #: A space before another white-space character or the end (RE2, for Arrow): such texts are cut with CUT.
@@ -70,22 +71,26 @@ class PieceEncoder:
         self.start = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
+        self.late: list[tuple[np.ndarray, np.ndarray]] = []  # (ids, counts) of a batch's long pieces
 
     def _places(self, pieces: list[str], cache: dict[str, int], prefix: str) -> np.ndarray:
         """The place in the pool of each piece; pieces not seen before are encoded first."""
         places = np.fromiter((cache.get(p, -1) for p in pieces), np.int64, len(pieces))
         missing = np.flatnonzero(places < 0)
+        long = np.fromiter((len(pieces[i]) > MAX_CACHED_CHARS for i in missing), bool, len(missing))
+        late, missing = missing[long], missing[~long]
         if len(missing):
-            new = [prefix + pieces[i] for i in missing]
-            ids, counts = self.encode_pieces(new)
-            at = len(self.start) + np.arange(len(new))
+            ids, counts = self.encode_pieces([prefix + pieces[i] for i in missing])
+            at = len(self.start) + np.arange(len(missing))
             self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(counts) - counts])
             self.count = np.concatenate([self.count, counts])
             self.pool = np.concatenate([self.pool, ids.astype(np.uint32)])
             places[missing] = at
-            for i, k in zip(missing.tolist(), at.tolist(), strict=True):
-                if len(pieces[i]) <= MAX_CACHED_CHARS:
-                    cache[pieces[i]] = k
+            cache.update(zip((pieces[i] for i in missing), at.tolist(), strict=True))
+        if len(late):  # kept for this batch only, under places -2, -3, …
+            places[late] = -2 - sum(len(c) for _, c in self.late) - np.arange(len(late))
+            ids, counts = self.encode_pieces([prefix + pieces[i] for i in late])
+            self.late.append((ids.astype(np.uint32), counts))
         return places
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -122,8 +127,16 @@ class PieceEncoder:
         used = np.unique(index[heads])
         place[used] = self._places([distinct[i] for i in used], self.first, "")
         places[heads] = place[index[heads]]
-        counts = self.count[places]
-        ids = self.pool[ragged(self.start[places], counts)]
+        start, count, pool = self.start, self.count, self.pool
+        if self.late:
+            more = np.concatenate([c for _, c in self.late])
+            places = np.where(places < -1, len(start) - 2 - places, places)
+            start = np.concatenate([start, len(pool) + np.cumsum(more) - more])
+            count = np.concatenate([count, more])
+            pool = np.concatenate([pool, *[i for i, _ in self.late]])
+            self.late = []
+        counts = count[places]
+        ids = pool[ragged(start[places], counts)]
         ends = np.concatenate([[0], np.cumsum(counts)])
         out = ends[bounds]
         if odd.any():  # back to the order of the texts

@@ -171,3 +171,22 @@ def test_bounds_and_bins(lengths):
         assert (np.cumsum(x[own]) - x[own] == offsets[own]).all() and x[own].sum() + room[own[0]] == capacity
     bound = packing.lower_bound(np.bincount(x, minlength=capacity + 1), capacity)
     assert bound <= optimum(sorted(lengths, reverse=True), []) <= bins.max() + 1
+
+
+def test_long_pieces_leave_nothing_behind():
+    """Texts without spaces: their pieces are encoded per batch, the pool stays as it was."""
+    import random
+
+    import pyarrow as pa
+    from adsphere.llm import tokens
+    t = tokens.TokenizerFile(tokens.vocabulary_path("byte_bpe_50k.json"))
+    r = random.Random(4)
+    pool = None
+    for _ in range(100):
+        texts = ["short words here " + "".join(r.choice("的一是不了人我在有他abcXYZ09+/=") for _ in range(300)) + " " + "q" * 90
+                 for _ in range(4)]
+        ids, bounds = t.encode(pa.array(texts))
+        for i, text in enumerate(texts):
+            assert ids[bounds[i]:bounds[i + 1]].tolist() == t.tokenizer.encode(text, add_special_tokens=False).ids
+        pool = pool or len(t.cached.pool)
+    assert len(t.cached.pool) == pool and not t.cached.late
