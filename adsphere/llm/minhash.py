@@ -6,8 +6,9 @@ least of them on an exponential scale, ``floor(1 - log_b(min))`` truncated to 0
 registers of a union are the larger registers, so sketches merge, and the share of equal
 registers follows the Jaccard similarity, so bands of registers serve as hash keys.
 
-1. Documents with equal sets form a class; its representative is the smallest ``doc_id``.
-   Only representatives go on.
+1. Documents with the same words in the same order form a class, told by a cryptographic
+   128-bit hash; its representative is the smallest ``doc_id``.  Only representatives go on, so
+   documents with equal sets but other words in order are linked like any pair, on their sets.
 2. Representatives that agree in a whole band meet in a bucket.  At similarity 0.8 a pair
    misses all bands with probability 2e-8.
 3. Each bucket has a leader (the least by a hash that differs per band, so a group of
@@ -40,6 +41,7 @@ other columns of the input are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,6 +60,7 @@ REGISTERS = ROWS * BANDS
 BASE, RATE, Q = 1.001, 20.0, (1 << 16) - 2
 STANDARD_ERRORS = 7.0
 SLICE_BYTES = 512 << 10  # of text hashed at once: a worker holds some 60 bytes per byte of it
+LONG_WORD = 64  # bytes, from which a word's hash is cryptographic
 TILE = 256
 CROWD = 512  # members of a bucket, left out by their leader, that are compared with each other at once
 ROUNDS = 12  # of further leaders
@@ -120,6 +123,8 @@ def shingle_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     up, down = powers().upto(len(low) + 1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[:len(low)])])
     word = mixed((sums[ends] - sums[starts]) * down[starts])
+    for i in np.flatnonzero(ends - starts >= LONG_WORD).tolist():  # sums of powers modulo 2 ** 64 may agree there
+        word[i] = int.from_bytes(hashlib.blake2b(low[starts[i]:ends[i]].tobytes(), digest_size=8).digest(), "little")
     doc = np.searchsorted(begin, starts, side="right") - 1
     count = np.bincount(doc, minlength=len(texts))
     pair = np.flatnonzero(doc[1:] == doc[:-1]) if len(doc) > 1 else np.zeros(0, np.int64)
@@ -206,8 +211,13 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np
     return grid[np.arange(len(grid)), ll.argmax(1)]
 
 
+def sequence_hash(text: bytes) -> bytes:
+    """A cryptographic 128-bit hash of a text's words in order: equal words, equal sets."""
+    return hashlib.blake2b(b" ".join(text.lower().split()), digest_size=16).digest()
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, s1, s2, f1, f2, regs): set size, a 128-bit sum of its hashes, fingerprint, sketch."""
+    """(doc_id, n, s1, s2, f1, f2, regs): set size, a 128-bit hash of the words in order, fingerprint, sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,12 +227,10 @@ def sketches(docs: DataFrame) -> DataFrame:
                 hashes, bounds = shingle_hashes(texts)
                 n = np.diff(bounds)
                 regs = registers(hashes, bounds)
-                total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes))])
-                other = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes ^ MIX[2]))])
+                same = np.frombuffer(b"".join(sequence_hash(t) for t in texts), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"][a:b], pa.array(n, pa.int64()),
-                     pa.array((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64)),
-                     pa.array((other[bounds[1:]] - other[bounds[:-1]]).view(np.int64)),
+                     pa.array(same[:, 0]), pa.array(same[:, 1]),
                      *[pa.array(f) for f in fingerprints(regs)],
                      pa.array([r.tobytes() for r in regs], pa.binary())],
                     names=["doc_id", "n", "s1", "s2", "f1", "f2", "regs"])

@@ -249,3 +249,22 @@ def test_pipeline_stages_take_edge_cases(spark, edge_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, docs, SF001).columns == docs.columns
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF001).count() >= docs.count()
+
+
+def test_words_whose_power_sums_agree_are_told_apart(spark):
+    """Thue-Morse words and their complements: polynomial hashes modulo 2 ** 64 cannot tell them apart."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, f"x {word} y"), (4, f"x {other} y"), (5, word), (6, word.upper())]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1, 6: 1}
+
+
+def test_equal_hashes_are_not_taken_for_equal_sets(spark, monkeypatch):
+    """Equal sets in another order are linked by their sets, not by a class."""
+    assert minhash.sequence_hash(b"A  b\tC") == minhash.sequence_hash(b"a b c") != minhash.sequence_hash(b"a c b")
+    a = "p q r s t p q r s t"
+    rows = [(1, a), (2, a + " p q"), (3, "p q r s t p q"), (4, "zz " + a)]
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (5, 1), 2: (5, 1), 3: (5, 1), 4: (6, 1)}
