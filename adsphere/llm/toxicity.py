@@ -68,6 +68,7 @@ STEPS = 60
 RUN_TOKENS = 50_000   # of the sample, in one call of the recursion
 RATE = 0.3
 PENALTY = 1e-4
+SLICE_BYTES = 2 << 20  # of text scored at once: a worker holds some 40 bytes per byte of it
 MAX_WORDS = 400_000  # cached words per worker; beyond it the cache starts anew
 
 
@@ -450,7 +451,7 @@ def score_documents(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame
         s = scorer(shared.value)
         for batch in batches:
             text = pc.struct_field(batch["_doc"], "text")
-            for a, b in byte_slices(text):
+            for a, b in byte_slices(text, SLICE_BYTES):
                 part = batch["_doc"].slice(a, b - a)
                 scores, spans = s.score(pc.fill_null(text[a:b], "").to_pylist())
                 rest = pa.StructArray.from_arrays([pc.struct_field(part, c) for c in keep], names=keep)
