@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle_sql
+from .functions import sql as _sql
 from .functions.codec import decode_pairs as _decode
 from .functions.codec import encode_pairs as _encode
 from .functions.geo import geohash8 as _geohash8
@@ -19,24 +20,34 @@ from .functions.tags import ID_COLUMNS as _IDC
 from .functions.tags import any_identifier as _p3
 from .functions.tags import main_id as _main_id
 from .functions.tags import user_ids as _user_ids
+from .operators import incremental as _inc
 from .operators import skew as _sk
 from .operators import tag_agg as _ta
 from .operators.components import connected_components as _cc
+from .operators.components import graph_summary as _graph_summary
 from .plans import business_area as _ba
+from .plans import feed as _feed
 from .plans import ods as _ods
 from .plans import profile as _pf
 from .plans import reports
 from .plans import tagging as _tg
 from .session import materialize as _materialize
+from .sources import keyed as _keyed
+from .sources import range_file as _rf
 from .sources import snapshots as _snap
+from .sources.adlog import AD_LOG_EXPRESSIONS as _LOG_SQL
 from .sources.adlog import AD_LOG_COLUMNS as _FIXTURE_COLUMNS
 from .sources.adlog import HISTORY_DS as _HDS
 from .sources.adlog import TODAY_DS as _TDS
+from .sources.adlog import FUNNEL_INPUT as _FUNNEL
 from .sources.adlog import ad_log as _ad_log
+from .sources.dictionary import read_kv_dictionary as _read_kv
 from .sources.dims import app_dictionary as _app_dict
 from .sources.dims import geocode_responses as _geocode
 from .sources.dims import ip_ranges as _ip_ranges
 from .sources.jsonlog import AD_LOG_FIELDS as _LOG_FIELDS
+from .sources.jsonlog import read_json_lines as _read_lines
+from .sources.person_store import PersonStore as _PersonStore
 from .sources.tables import read_table as _read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +74,51 @@ for _name in ("report_province_city", "report_region", "report_app", "report_dev
     register(_name)(_report(_name))
 
 
+def _ods_report(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A1/A2 on the ODS: province and city come from the IP join."""
+        columns = [] if name == "report_province_city" else list(_FUNNEL)
+        return reports.report(_ods.build_ods(spark, sf_dir, [*columns, "province", "city"]), name)
+    run.__name__ = f"ods_{name}"
+    return run
+
+
+for _name in ("report_province_city", "report_region"):
+    register(f"ods_{_name}")(_ods_report(_name))
+
+
+# ---------------------------------------------------------------- the raw log
+
+#: The fields of the JSON log derived from lineitem alone, and the rules that spoil some of its lines.
+_LINE_FIELDS = ("requestmode", "client", "adorderid", "appid", "ispname", "winprice")
+
+
+def _json_lines(spark, sf_dir):
+    """A JSON log: each row a line; some cut short, some no object, some with a wrong type, some with a field too many."""
+    li = _read(spark, sf_dir, "lineitem").select(
+        *[F.expr(_LOG_SQL[c]).alias(c) for c in _LINE_FIELDS], F.col("l_orderkey").alias("_o"), F.col("l_linenumber").alias("_l"))
+    fields = [F.col(c) for c in _LINE_FIELDS]
+    plain = F.to_json(F.struct(*fields))
+    extra = F.to_json(F.struct(*fields, F.struct(F.col("_l").alias("number")).alias("extra")))
+    wrong = F.to_json(F.struct(*[F.lit("many").alias(c) if c == "client" else F.col(c) for c in _LINE_FIELDS]))
+    line = (F.when(F.col("_o") % 41 == 0, F.expr("left(p, length(p) - 1)")).when(F.col("_o") % 43 == 0, F.concat(F.lit("["), "p", F.lit("]")))
+            .when(F.col("_o") % 47 == 0, F.col("w")).when(F.col("_o") % 53 == 0, F.col("e")).otherwise(F.col("p")))
+    return li.select("_o", plain.alias("p"), extra.alias("e"), wrong.alias("w")).select(line.alias("value"))
+
+
+@register("log_quarantine")
+def log_quarantine(spark, sf_dir):
+    """The JSON log written as text and read with rescue; what each kind of line became."""
+    path = f"{_tg.warehouse(spark)}/log"
+    _json_lines(spark, sf_dir).write.text(path)
+    lines = _read_lines(spark, path)
+    kind = (F.when(F.col("reason").isNotNull(), F.col("reason")).when(F.col("rescued").isNotNull(), "rescued").otherwise("record"))
+    number = F.try_variant_get("rescued", "$.extra.number", "bigint")
+    return lines.groupBy(kind.alias("kind")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("adorderid").alias("n_orders"), F.sum("client").alias("client_sum"),
+        F.sum(number).alias("extra_sum"), F.count_if(F.try_variant_get("rescued", "$.client", "string") == "many").alias("n_wrong"))
+
+
 # ---------------------------------------------------------------- IP enrichment
 
 
@@ -77,6 +133,23 @@ def ip_geo(spark, sf_dir):
     return _ods.lookup_ips(ips, _ip_ranges(spark, sf_dir))
 
 
+@register("ip_file_geo")
+def ip_file_geo(spark, sf_dir):
+    """The ranges written as a binary range file, read back, and looked up."""
+    path = f"{_tg.warehouse(spark)}/ranges.dat"
+    ranges = _rf.file_ranges(spark, _rf.write_range_file(spark, _ip_ranges(spark, sf_dir), path))
+    ips = _ods.distinct_ips(_ad_log(spark, sf_dir, ["ip"]))
+    return _ods.lookup_ips(ips, _materialize(ranges, "file-ranges")).drop("longitude", "latitude")
+
+
+@register("ip_text")
+def ip_text(spark, sf_dir):
+    """G1, G2 as SQL functions: address text to number and back."""
+    _sql.register_functions(spark)
+    return spark.sql("SELECT ip, ip_number(ip) AS ip_num, ip_text(ip_number(ip)) AS ip_text FROM {ips}",
+                     ips=_ods.distinct_ips(_ad_log(spark, sf_dir, ["ip"])))
+
+
 @register("region_city_split")
 def region_city_split(spark, sf_dir):
     ods = _ods.build_ods(spark, sf_dir, ["ip", "province", "city"])
@@ -122,6 +195,15 @@ def geohash8_query(spark, sf_dir):
     return _as_double(coords.withColumn("geohash", _geohash8(F.col("latitude"), F.col("longitude"))))
 
 
+@register("sql_geohash")
+def sql_geohash(spark, sf_dir):
+    """the geohash as a function that SQL calls."""
+    _sql.register_functions(spark)
+    return spark.sql("SELECT DISTINCT CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, "
+                     "geohash8(latitude, longitude) AS geohash FROM {log} WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
+                     log=_ad_log(spark, sf_dir, _COORDS))
+
+
 @register("area_json")
 def area_json(spark, sf_dir):
     return _as_double(_coord_areas(spark, sf_dir).select("latitude", "longitude", "areas"))
@@ -187,6 +269,11 @@ def identity_components(spark, sf_dir):
     return _all_components(_materialize(_id_records(spark, sf_dir), "id-records"))
 
 
+@register("graph_size")
+def graph_size(spark, sf_dir):
+    return _graph_summary(_ta.identity_edges(_id_records(spark, sf_dir)))
+
+
 @register("identity_records")
 def identity_records(spark, sf_dir):
     recs = _materialize(_id_records(spark, sf_dir), "id-records")
@@ -245,6 +332,30 @@ def tag_merge(spark, sf_dir):
     return _ta.as_doubles(tags)
 
 
+def _two_days(spark, sf_dir):
+    """Both fixture days in a person store."""
+    store = _PersonStore(spark, _tg.warehouse(spark))
+    records = _tg.records_for(spark, sf_dir)
+    for ds in (_HDS, _TDS):
+        _inc.add_day(store, _tg.day(records, ds), ds)
+    return store
+
+
+@register("day_touched")
+def day_touched(spark, sf_dir):
+    """The persons that today's records touched, and those that became part of another."""
+    return _inc.touched(_two_days(spark, sf_dir), _TDS)
+
+
+@register("dict_file_lookup")
+def dict_file_lookup(spark, sf_dir):
+    """The app dictionary as a ``key##value`` file, read back and looked up."""
+    path = f"{_tg.warehouse(spark)}/apps"
+    _app_dict(spark, sf_dir).select(F.concat_ws("##", "appid", "name").alias("value")).write.text(path)
+    apps = _ad_log(spark, sf_dir, ["appid"]).select("appid").distinct()
+    return _tg.lookup(apps, F.col("appid"), _read_kv(spark, path), "name")
+
+
 @register("dict_lookup")
 def dict_lookup(spark, sf_dir):
     apps = _ad_log(spark, sf_dir, ["appid"]).select("appid").distinct()
@@ -288,6 +399,43 @@ def profile_docs(spark, sf_dir):
     return _pf.document_texts(_pf.profile_rows(_pf.classify_tags(_merged(spark, sf_dir))))
 
 
+def _plain_documents(tags):
+    """(_id, doc) with the 14 fields' texts as one."""
+    rows = _pf.document_texts(_pf.profile_rows(_pf.classify_tags(_ta.as_doubles(tags))))
+    return rows.select("_id", F.concat_ws("|", *_pf.PROFILE_FIELDS).alias("doc"))
+
+
+@register("document_feed")
+def document_feed(spark, sf_dir):
+    """What leads from yesterday's documents to today's."""
+    store = _two_days(spark, sf_dir)
+    before, after = (_materialize(_plain_documents(_inc.persons(store, ds)[0]), "documents") for ds in (_HDS, _TDS))
+    return _feed.change_feed(before, after)
+
+
+@register("day_suffixes")
+def day_suffixes(spark, sf_dir):
+    """The log's days as suffixes, with the day before."""
+    day = F.to_date("l_shipdate")
+    return (_read(spark, sf_dir, "lineitem").groupBy(_snap.day_suffix(day).alias("ds"), _snap.previous_day_suffix(day).alias("before"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("keyed_insert")
+def keyed_insert(spark, sf_dir):
+    """Two batches inserted under a key; what went in and what was rejected, why and how often."""
+    root, key = _tg.warehouse(spark), F.when(F.col("o_custkey") % 17 != 0, F.col("o_custkey"))
+    orders = _read(spark, sf_dir, "orders").select(key.alias("custkey"), F.col("o_orderstatus").alias("status"), "o_orderkey")
+    out = None
+    for batch in (0, 1):
+        rows = orders.where(F.col("o_orderkey") % 2 == batch).drop("o_orderkey")
+        accepted, rejected = _keyed.insert_keyed(rows, root, "CUSTOMER_STATUS", _TDS, ["custkey"])
+        part = (accepted.withColumns({"reason": F.lit("accepted"), "n": F.lit(1).cast("bigint")}).unionByName(rejected)
+                .withColumn("batch", F.lit(batch)))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("snapshot_read")
 def snapshot_read(spark, sf_dir):
     """Both days written as ``ds`` partitions, today's read back."""
@@ -345,6 +493,16 @@ def skew_two_phase_count(spark, sf_dir):
     return _sk.two_phase_count(_orders(spark, sf_dir), "o_custkey", ["o_orderkey"], SALT_BUCKETS)
 
 
+@register("sql_salted_count")
+def sql_salted_count(spark, sf_dir):
+    """The two-phase count as SQL text with salt and unsalt."""
+    _sql.register_functions(spark)
+    return spark.sql(
+        "SELECT CAST(unsalt(k) AS BIGINT) AS o_custkey, sum(n) AS n FROM ("
+        "SELECT salt(o_orderkey, {buckets}, CAST(o_custkey AS STRING)) AS k, count(*) AS n FROM {orders} GROUP BY 1) GROUP BY 1",
+        orders=_orders(spark, sf_dir), buckets=SALT_BUCKETS)
+
+
 @register("skew_isolate_join")
 def skew_isolate_join(spark, sf_dir):
     orders = _orders(spark, sf_dir)

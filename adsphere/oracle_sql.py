@@ -408,8 +408,84 @@ def skew_queries() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------- raw log, keyed writes, feeds, functions
+
+
+def _ods_reports() -> dict[str, str]:
+    base = f"WITH {ad_log_cte()}, {IP_RANGES_CTE}, {_ods_cte()}"
+    return {
+        "ods_report_province_city": f"{base} SELECT province, city, count(*) AS n FROM ods GROUP BY province, city",
+        "ods_report_region": (f"{base}, t AS (SELECT province, city, {FUNNEL_SELECT} FROM ods GROUP BY province, city) "
+                              f"SELECT province, city, {FUNNEL_OUTER} FROM t"),
+    }
+
+
+def _line_queries() -> dict[str, str]:
+    client, order = AD_LOG_EXPRESSIONS["client"], AD_LOG_EXPRESSIONS["adorderid"]
+    return {"log_quarantine": (
+        "WITH l AS (SELECT CASE WHEN l_orderkey % 41 = 0 THEN 'malformed' WHEN l_orderkey % 43 = 0 THEN 'not an object' "
+        "WHEN l_orderkey % 47 = 0 THEN 'wrong' WHEN l_orderkey % 53 = 0 THEN 'extra' ELSE 'record' END AS k, "
+        f"{client} AS client, {order} AS adorderid, l_linenumber FROM lineitem) "
+        "SELECT CASE WHEN k IN ('wrong', 'extra') THEN 'rescued' ELSE k END AS kind, count(*) AS n, "
+        "count(*) FILTER (WHERE k IN ('wrong', 'extra', 'record')) AS n_orders, "
+        "sum(client) FILTER (WHERE k IN ('extra', 'record'))::BIGINT AS client_sum, "
+        "sum(l_linenumber) FILTER (WHERE k = 'extra')::BIGINT AS extra_sum, count(*) FILTER (WHERE k = 'wrong') AS n_wrong FROM l GROUP BY 1")}
+
+
+def _store_queries() -> dict[str, str]:
+    hist = f"(SELECT * FROM recs WHERE ds = '{HISTORY_DS}')"
+    both = f"{tag_base()}, h AS {hist}, {components_cte('recs')}, {components_cte('h', 'old')}"
+    texts = " || '|' || ".join(
+        f"coalesce(string_agg('(' || value || ',' || CAST(weight AS VARCHAR) || ')', ',' ORDER BY value, weight) "
+        f"FILTER (WHERE field = '{f}'), '')" for f in _FIELDS)
+    before = classify_sql().replace("classified AS", "classified_old AS").replace("FROM merged", "FROM merged_old")
+    merged = merged_base()[len(tag_base()):].replace(f", {components_cte('recs')}", "", 1)
+    return {
+        "day_touched": (f"{both} SELECT DISTINCT coalesce(c.component, r.main_id) AS person, false AS gone FROM recs r "
+                        f"LEFT JOIN comp c ON r.main_id = c.id WHERE r.ds = '{TODAY_DS}' UNION ALL "
+                        "SELECT DISTINCT o.component, true FROM old o JOIN comp c ON o.id = c.id WHERE o.component <> c.component"),
+        "document_feed": (f"{both}{merged},\n merged_old AS (SELECT person, tag, CAST(count(*) AS DOUBLE) AS weight "
+                          f"FROM ({_person_tags('h', 'old')}) x GROUP BY ALL), {classify_sql()}, {before},\n"
+                          f" a AS (SELECT person AS _id, {texts} AS doc FROM classified GROUP BY person),\n"
+                          f" b AS (SELECT person AS _id, {texts} AS doc FROM classified_old GROUP BY person)\n"
+                          "SELECT coalesce(a._id, b._id) AS _id, CASE WHEN b._id IS NULL THEN 'insert' WHEN a._id IS NULL THEN 'delete' "
+                          "ELSE 'update' END AS op, a.doc FROM a FULL JOIN b ON a._id = b._id "
+                          "WHERE a._id IS NULL OR b._id IS NULL OR a.doc <> b.doc"),
+    }
+
+
+def _small_queries() -> dict[str, str]:
+    ib = identity_base()
+    key = "CASE WHEN o_custkey % 17 <> 0 THEN o_custkey END"
+    return {
+        "ip_file_geo": ip_queries()["ip_geo"].replace(", longitude, latitude FROM g", " FROM g"),
+        "ip_text": (f"WITH {ad_log_cte()} SELECT DISTINCT ip, {ip_num_sql('ip')} AS ip_num, "
+                    f"CASE WHEN {ip_num_sql('ip')} IS NOT NULL THEN ip END AS ip_text FROM ad_log WHERE ip IS NOT NULL AND ip <> ''"),
+        "sql_geohash": area_queries()["geohash8"],
+        "sql_salted_count": "SELECT o_custkey, count(*)::BIGINT AS n FROM orders GROUP BY o_custkey",
+        "graph_size": (f"{ib}, e AS (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM "
+                       "(SELECT main_id AS a, unnest(ids) AS b FROM recs) t WHERE a <> b) "
+                       "SELECT (SELECT count(*) FROM (SELECT a FROM e UNION SELECT b FROM e) n) AS nodes, count(*) AS edges FROM e"),
+        "dict_file_lookup": tag_queries()["dict_lookup"],
+        "day_suffixes": ("SELECT strftime(l_shipdate, '%Y%m%d') AS ds, strftime(l_shipdate::DATE - 1, '%Y%m%d') AS before, "
+                         "count(*) AS n FROM lineitem GROUP BY 1, 2"),
+        "keyed_insert": (
+            f"WITH b AS (SELECT {key} AS custkey, o_orderstatus AS status, (o_orderkey % 2)::INTEGER AS batch, count(*) AS n "
+            "FROM orders GROUP BY 1, 2, 3),\n"
+            "firsts AS (SELECT custkey, min(batch) AS batch FROM b WHERE custkey IS NOT NULL GROUP BY custkey),\n"
+            "stored AS (SELECT b.custkey, b.batch, min(status) AS status FROM b JOIN firsts USING (custkey, batch) GROUP BY 1, 2),\n"
+            "j AS (SELECT b.*, s.status = b.status AND s.batch = b.batch AS goes_in, s.batch < b.batch AS held "
+            "FROM b LEFT JOIN stored s USING (custkey))\n"
+            "SELECT custkey, status, 'accepted' AS reason, 1::BIGINT AS n, batch FROM j WHERE goes_in UNION ALL "
+            "SELECT custkey, status, CASE WHEN custkey IS NULL THEN 'null key' WHEN held THEN 'stored key' ELSE 'repeated key' END, "
+            "n - coalesce(goes_in, false)::BIGINT, batch FROM j WHERE n - coalesce(goes_in, false)::BIGINT > 0"),
+    }
+
+
 def all_queries() -> dict[str, str]:
     out: dict[str, str] = {}
+    for more in (_ods_reports, _line_queries, _store_queries, _small_queries):
+        out.update(more())
     out.update(report_queries())
     out.update(ip_queries())
     out.update(area_queries())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The log's 85 field names in file order, with their types.
@@ -45,3 +46,39 @@ def read_json_log(spark: SparkSession, path: str, keep_corrupt: bool = False) ->
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     return reader.json(path)
+
+
+def parse_json_log(lines: DataFrame) -> DataFrame:
+    """The 85 fields of each line (column ``value``) with ``rescued``, ``reason`` and ``line``.
+
+    ``reason`` says why a line is no record: ``malformed`` (no JSON) or ``not an object``; else it is
+    NULL.  ``rescued`` is a VARIANT object of what the fields do not hold: unknown fields, and known
+    ones whose value has another type (the field itself is then NULL); NULL where there is none.
+    Blank lines are no lines.
+    """
+    value = F.col("value")
+    names = [n for n, _ in AD_LOG_FIELDS]
+    typed = T.StructType([*AD_LOG_SCHEMA.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    df = lines.where(value.rlike(r"\S")).select(
+        value.alias("line"), F.try_parse_json(value).alias("_v"),
+        F.from_json(value, typed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_r"))
+    whole = F.col("_v").isNotNull()
+    reason = (F.when(~whole, "malformed")
+              .when(~F.expr("schema_of_variant(_v)").startswith("OBJECT"), "not an object"))
+    df = df.withColumn("reason", reason)
+    # only a record with a misfit or an unknown field pays for the map of all its values
+    empty = F.array_compact(F.array(*[F.when(F.col("_r")[n].isNull(), F.lit(n)) for n in names]))
+    known = F.array(*[F.lit(n) for n in names])
+    values = F.when(F.col("reason").isNull(), F.from_json("line", T.MapType(T.StringType(), T.VariantType())))
+    df = df.withColumn("_empty", empty).withColumn("_m", values)
+    kept = F.map_filter("_m", lambda k, v: (~F.array_contains(known, k) | F.array_contains(F.col("_empty"), k))
+                        & ~F.is_variant_null(v))
+    df = df.withColumn("_kept", kept)
+    rescued = F.when(F.size("_kept") > 0, F.to_variant_object("_kept"))
+    return df.select(*[F.when(F.col("reason").isNull(), F.col("_r")[n]).alias(n) for n in names],
+                     rescued.alias("rescued"), "reason", "line")
+
+
+def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """S1 with rescue: :func:`parse_json_log` of a file or folder of JSON lines."""
+    return parse_json_log(spark.read.text(path))

@@ -6,11 +6,15 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from adsphere.functions.codec import decode_map, decode_pairs, malformed_entries
+from adsphere.operators.incremental import persons
 from adsphere.operators.tag_agg import as_doubles
 from adsphere.plans.daily import json_input, run_day
+from adsphere.plans.feed import apply_feed
 from adsphere.plans.tagging import TAG_SCHEMA, merged_in_one_pass, merged_profile
 from adsphere.sources.adlog import HISTORY_DS, TODAY_DS
 from adsphere.sources.dims import ip_ranges
+from adsphere.sources.person_store import PersonStore
+from adsphere.sources.range_file import write_range_file
 from adsphere.sources.snapshots import read_snapshot
 from conftest import SF001, sorted_rows
 
@@ -76,6 +80,51 @@ def test_three_days_of_json_logs(spark, tmp_path):
     assert spark.read.parquet(paths["unknown_tags"]).where("ds = '20240103'").first().unknown_tags == 0
 
 
+def test_days_that_write_only_what_they_touch(spark, tmp_path):
+    """A range file, spoilt lines, no snapshots: feeds and metrics; the store holds what the snapshots would."""
+    days = {"20240101": [dict(ip="16.0.0.1", client=1, mac="b", sex="f"), dict(mac="z", sex="m", new=1), "{broken", "[]"],
+            "20240102": [dict(ip="17.0.1.1", imei="a", mac="b", keywords="x")], "20240103": [dict(imei="q", mac="q2", client="odd")]}
+    apps = tmp_path / "apps.txt"
+    apps.write_text("a1##First app\n")
+    ranges = write_range_file(spark, ip_ranges(spark, SF001), str(tmp_path / "ranges.dat"))
+    responses = spark.createDataFrame([], "longitude float, latitude float, response string")
+    roots = {True: str(tmp_path / "full"), False: str(tmp_path / "touched")}
+    docs = spark.createDataFrame([], "_id string, doc string")
+    metrics, ops = {}, {}
+    for ds, rows in days.items():
+        log = tmp_path / f"{ds}.json"
+        log.write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in rows) + "\n")
+        for snapshot, root in roots.items():
+            paths = run_day(spark, json_input(spark, str(log), ranges, responses, str(apps)), root, ds, snapshot=snapshot)
+        metrics[ds] = {r.metric: r.value for r in spark.read.parquet(paths["metrics"]).where(F.col("ds") == ds).collect()}
+        feed = spark.read.parquet(paths["document_feed"]).where(F.col("ds") == ds).drop("ds")
+        ops[ds] = {r._id: r.op for r in feed.collect()}
+        docs = apply_feed(docs, feed)
+    assert "TAG" not in paths and metrics["20240101"] == {
+        "lines": 4, "quarantined": 2, "rescued": 1, "ods_rows": 2, "unlocated": 0, "records": 2, "app_misses": 2, "unknown_tags": 0}
+    assert ops == {"20240101": {"b": "insert", "z": "insert"}, "20240102": {"a": "insert", "b": "delete"}, "20240103": {"q": "insert"}}
+    bad = spark.read.parquet(f"{roots[False]}/quarantine").where("ds = '20240101'")
+    assert {r.line: r.reason for r in bad.collect()} == {"{broken": "malformed", "[]": "not an object"}
+    rescued = spark.read.parquet(f"{roots[True]}/rescued").select("ds", F.to_json("rescued").alias("r")).collect()
+    assert {(str(r.ds), r.r) for r in rescued} == {("20240101", '{"new":1}'), ("20240103", '{"client":"odd"}')}
+    ods = spark.read.parquet(f"{roots[True]}/ODS")
+    assert ods.count() == 4 and ods.where("ip IS NULL AND mac IS NULL").isEmpty()
+    assert ods.where("ip = '16.0.0.1'").first().province == "P0省" and ods.where("longitude IS NOT NULL").isEmpty()
+    # the same persons, weights and documents as with snapshots
+    full = read_snapshot(spark, roots[True], "TAG", "20240103", TAG_SCHEMA)
+    tags, ids = persons(PersonStore(spark, roots[False]), "20240103")
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, tags.select(*full.columns).collect()))
+    texts = [json.loads(r.value) for r in spark.read.text(f"{roots[True]}/profile_docs/ds=20240103").collect()]
+    got = {r._id: json.loads(r.doc) for r in docs.collect()}
+    assert set(got) == {d["_id"] for d in texts}
+    assert got["q"] == next(d for d in texts if d["_id"] == "q")  # touched today: today's weights
+    # the full feeds lead to the full documents
+    state = spark.createDataFrame([], "_id string, doc string")
+    for ds in days:
+        state = apply_feed(state, spark.read.parquet(f"{roots[True]}/document_feed").where(F.col("ds") == ds).drop("ds"))
+    assert sorted(r.doc for r in state.collect()) == sorted(r.value for r in spark.read.text(f"{roots[True]}/profile_docs/ds=20240103").collect())
+
+
 def test_snapshot_read_prunes_partitions(spark):
     plan = entry.queries()["snapshot_read"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ds" in plan and TODAY_DS in plan
