@@ -21,6 +21,7 @@ from .functions.tags import any_identifier as _p3
 from .functions.tags import main_id as _main_id
 from .functions.tags import user_ids as _user_ids
 from .operators import incremental as _inc
+from .operators import sketch as _sketch
 from .operators import skew as _sk
 from .operators import tag_agg as _ta
 from .operators.components import connected_components as _cc
@@ -33,6 +34,7 @@ from .plans import reports
 from .plans import tagging as _tg
 from .session import materialize as _materialize
 from .sources import keyed as _keyed
+from .sources import layout as _layout
 from .sources import range_file as _rf
 from .sources import snapshots as _snap
 from .sources.adlog import AD_LOG_EXPRESSIONS as _LOG_SQL
@@ -232,6 +234,14 @@ def area_lookup(spark, sf_dir):
     return _ba.lookup_areas(cells, _stored_library(spark, sf_dir))
 
 
+@register("area_point")
+def area_point(spark, sf_dir):
+    """One geohash, the greatest, looked up in sorted files."""
+    path = _layout.write_sorted(_stored_library(spark, sf_dir), f"{_tg.warehouse(spark)}/areas", "geohash")
+    last = spark.read.parquet(path).agg(F.max("geohash").alias("g")).first()["g"]
+    return _layout.point_lookup(spark, path, "geohash", F.lit(last))
+
+
 # ---------------------------------------------------------------- tags and identity
 
 
@@ -283,6 +293,24 @@ def identity_records(spark, sf_dir):
     return _ta.assign_person(per_main, comps).select("person", "main_id", "n_records")
 
 
+JOIN_BUCKETS = 16
+
+
+@register("bucketed_person_join")
+def bucketed_person_join(spark, sf_dir):
+    """The ODS and the persons as bucketed tables; every record with its person, without a shuffle."""
+    log = _ad_log(spark, sf_dir, ["ip", "requestmode", *_IDC]).where(_p3())
+    log = log.select("ip", "requestmode", _user_ids().alias("ids")).where(F.size("ids") > 0)
+    log = _materialize(log.select(_main_id(F.col("ids")).alias("id"), "ids", "ip", "requestmode"), "log-ids")
+    comps = _all_components(log.select("ids", F.col("id").alias("main_id")))
+    left, right = _layout.salted_pair(log.drop("ids"), _materialize(comps, "persons"), "id", ["ip", "requestmode"])
+    root = _tg.warehouse(spark)
+    name = "t" + root.rsplit("-", 1)[1]
+    for side, df in (("log", left), ("persons", right)):
+        _layout.write_bucketed(df, f"{name}_{side}", f"{root}/{side}", ["id", _sk.SALT], JOIN_BUCKETS)
+    return _layout.bucketed_join(spark, f"{name}_log", f"{name}_persons", "id")
+
+
 @register("component_members")
 def component_members(spark, sf_dir):
     return _ta.component_members(_all_components(_materialize(_id_records(spark, sf_dir), "id-records")))
@@ -474,6 +502,21 @@ def skew_hot_keys(spark, sf_dir):
     return _sk.hot_keys(_orders(spark, sf_dir), "o_custkey", min_share=HOT_SHARE)
 
 
+@register("skew_hot_keys_sketched")
+def skew_hot_keys_sketched(spark, sf_dir):
+    """A13 from one stored sketch per month, merged; candidates counted exactly."""
+    orders = _read(spark, sf_dir, "orders").select("o_custkey", F.date_format("o_orderdate", "yyyyMM").alias("month"))
+    sketches = _materialize(_sketch.day_sketches(orders, "o_custkey", "month", HOT_SHARE), "key-sketches")
+    return _sketch.hot_keys_from_sketches(orders, sketches, "o_custkey", HOT_SHARE)
+
+
+@register("partition_rows")
+def partition_rows(spark, sf_dir):
+    """The rows of the partitions that the salted keys fall into, as salted and as counted."""
+    salted = _orders(spark, sf_dir).withColumn("salt", _sk.salt(["o_orderkey"], SALT_BUCKETS)).repartition(SALT_BUCKETS, "salt")
+    return _sk.rows_per_partition(salted).agg(F.sum("n").alias("n_rows"))
+
+
 @register("skew_filter_join")
 def skew_filter_join(spark, sf_dir):
     recs = _materialize(_id_records(spark, sf_dir), "id-records")

@@ -467,6 +467,14 @@ def _small_queries() -> dict[str, str]:
                        "(SELECT main_id AS a, unnest(ids) AS b FROM recs) t WHERE a <> b) "
                        "SELECT (SELECT count(*) FROM (SELECT a FROM e UNION SELECT b FROM e) n) AS nodes, count(*) AS edges FROM e"),
         "dict_file_lookup": tag_queries()["dict_lookup"],
+        "area_point": area_queries()["area_library"].replace("SELECT geohash, areas FROM library",
+                                                             "SELECT geohash, areas FROM library ORDER BY geohash DESC LIMIT 1"),
+        "bucketed_person_join": (
+            f"{ib}, {components_cte('recs')}, l AS (SELECT ip, requestmode, {IDS_SQL}[1] AS id FROM ad_log WHERE {P3_SQL}) "
+            "SELECT l.id, l.ip, l.requestmode, coalesce(c.component, l.id) AS component FROM l LEFT JOIN comp c ON l.id = c.id "
+            "WHERE l.id IS NOT NULL"),
+        "skew_hot_keys_sketched": skew_queries()["skew_hot_keys"],
+        "partition_rows": "SELECT count(*)::BIGINT AS n_rows FROM orders",
         "day_suffixes": ("SELECT strftime(l_shipdate, '%Y%m%d') AS ds, strftime(l_shipdate::DATE - 1, '%Y%m%d') AS before, "
                          "count(*) AS n FROM lineitem GROUP BY 1, 2"),
         "keyed_insert": (
