@@ -3,12 +3,12 @@
 Vectors are compared only within a group: equal, non-NULL labels and equal length.
 
 1. Equal vectors of a group form a class; its representative is the smallest ``vec_id``.
-2. In each pass a class gets a key of ``BITS`` random-hyperplane signs.  Classes are ordered by
-   group and key (lexicographically in the signs) and each is compared with the ``WINDOW``
-   classes before it.  A pair at the threshold agrees in a sign with probability 0.936, so it
-   shares the leading signs that decide its neighbourhood in many of the passes.  A larger
-   group takes more signs to decide a neighbourhood: the window grows with the largest group
-   and the passes of each group with its own size (:func:`window_for`, :func:`passes_for`).
+2. In each pass a class gets a key of ``BITS`` random-hyperplane signs, the hyperplanes going
+   through the group's mean.  Classes are ordered by group and key (lexicographically in the
+   signs) and each is compared with the ``WINDOW`` classes before it.  A larger group takes more
+   signs to decide a neighbourhood, and in a dense one (vectors close to their mean) a pair at the
+   threshold shares fewer signs: the window grows with the largest group, the passes of each group
+   with its own size and its measured density (:func:`window_for`, :func:`passes_for`).
 3. Verified pairs of all passes are joined by union-find, first inside each task, then over
    all tasks by connected components.
 4. Inside a component every pair is compared, in tiles of ``TILE`` classes, and links are
@@ -46,7 +46,9 @@ from ..operators.components import connected_components
 from ..session import materialize
 
 COSINE = 0.98
-PASSES = 16     # at least
+PASSES = 16     # at least, for a group wider than the window
+MAX_PASSES = 400
+MISSES = 3.5    # the expected finds of a pair at the threshold, so that it is missed with probability exp(-3.5)
 BITS = 128      # a multiple of 8
 WINDOW = 32     # at least
 WINDOW_ROWS = 10_000  # classes of a group from which the window grows
@@ -65,13 +67,19 @@ def window_for(largest: int) -> int:
     return max(WINDOW, math.ceil(WINDOW * (largest / WINDOW_ROWS) ** (1 / 3)))
 
 
-def passes_for(size: F.Column, window: int) -> F.Column:
-    """The passes of a group of so many classes.
+def passes_for(size: F.Column, window: int, spread: F.Column, cosine: float) -> F.Column:
+    """The passes of a group of so many classes, whose mean unit vector has the squared length ``spread``.
 
-    A pair shares the signs that leave a window of classes with probability
-    (size / window) ** -0.32, where the group's vectors have cosine 0.9 to each other.
+    Hyperplanes go through the mean.  Seen from there a pair at the threshold has the cosine
+    ``1 - (1 - cosine) / (1 - spread)`` and agrees in a sign with probability ``agree``, two others with one
+    half.  So the signs that leave a window of classes are shared with probability
+    ``(window / size) ** (log agree / log one half)``, and ``MISSES`` over that many passes find the pair.
     """
-    return F.greatest(F.lit(PASSES), F.ceil(3 * F.pow(size / window, F.lit(1 / 3)))).cast("int")
+    seen = F.greatest(F.lit(0.0), 1 - (1 - cosine) / F.greatest(1 - spread, F.lit(1e-9)))
+    agree = 1 - F.acos(seen) / math.pi
+    shared = F.pow(F.least(F.lit(1.0), window / size), F.log(agree) / math.log(0.5))
+    needed = F.least(F.ceil(MISSES / shared), F.lit(MAX_PASSES))
+    return F.when(size <= window + 1, 1).otherwise(F.greatest(F.lit(PASSES), needed)).cast("int")
 
 
 def vectors(raw: list[bytes], dim: int, width: int) -> np.ndarray:
@@ -88,8 +96,42 @@ def may_link() -> F.Column:
             & ~F.coalesce(odd, F.lit(True)) & F.coalesce(F.exists(x, lambda v: v != 0), F.lit(False)))
 
 
+def group_means(classes: DataFrame, sizes: DataFrame, window: int, width: int) -> DataFrame:
+    """(grp, dim, mean): the mean unit vector of each group that is wider than the window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int], np.ndarray] = {}
+        for batch in batches:
+            codes = batch["grp"].dictionary_encode()
+            dims, names = batch["dim"].to_numpy(), codes.dictionary.to_pylist()
+            for dim in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == dim)
+                raw = batch.take(pa.array(at))["embedding"].flatten().to_numpy(zero_copy_only=False).astype(f"<f{width}")
+                x = raw.reshape(-1, dim).astype(float)
+                x /= np.sqrt((x * x).sum(1))[:, None]
+                own = codes.indices.to_numpy()[at]
+                for k in np.unique(own).tolist():
+                    key = (names[k], dim)
+                    sums[key] = sums.get(key, 0.0) + x[own == k].sum(0)
+            if len(sums) > 10_000:
+                yield table(sums)
+                sums = {}
+        yield table(sums)
+
+    def table(sums: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([g for g, _ in sums], pa.string()), pa.array([d for _, d in sums], pa.int32()),
+             pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], names=["grp", "dim", "total"])
+
+    wide = sizes.where(F.col("size") > window + 1)
+    part = classes.join(wide, ["grp", "dim"]).select("grp", "dim", "embedding").mapInArrow(run, "grp string, dim int, total array<double>")
+    total = part.select("grp", "dim", F.posexplode("total").alias("at", "x")).groupBy("grp", "dim", "at").agg(F.sum("x").alias("x"))
+    listed = total.groupBy("grp", "dim").agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("xs"))
+    return listed.join(wide, ["grp", "dim"]).select("grp", "dim", F.transform("xs", lambda p: p["x"] / F.col("size")).alias("mean"))
+
+
 def keyed(classes: DataFrame) -> DataFrame:
-    """(node, grp, dim, vec, keys): vectors as bytes, one key for each of a row's ``passes``."""
+    """(node, grp, dim, vec, keys): vectors as bytes, one key for each of a row's ``passes``, seen from ``mean``."""
     width = 4 if isinstance(classes.schema["embedding"].dataType.elementType, T.FloatType) else 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,6 +143,7 @@ def keyed(classes: DataFrame) -> DataFrame:
                 raw = part["embedding"].flatten().to_numpy(zero_copy_only=False).astype(f"<f{width}")
                 rows = [r.tobytes() for r in raw.reshape(-1, dim)]
                 unit, own = vectors(rows, dim, width), part["passes"].to_numpy()
+                unit -= part["mean"].flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
                 first = np.concatenate([[0], np.cumsum(own)])
                 keys = np.zeros((first[-1], BITS // 8), np.uint8)
                 for p in range(own.max()):
@@ -114,7 +157,7 @@ def keyed(classes: DataFrame) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(first, pa.int32()), flat.cast(pa.binary()))],
                     names=["node", "grp", "dim", "vec", "keys"])
 
-    return classes.select("node", "grp", "dim", "embedding", "passes").mapInArrow(
+    return classes.select("node", "grp", "dim", "embedding", "passes", "mean").mapInArrow(
         run, "node long, grp string, dim int, vec binary, keys array<binary>")
 
 
@@ -256,7 +299,12 @@ def near_duplicate_vectors(rows: DataFrame, cosine: float = COSINE, passes: int
     sizes = materialize(classes.groupBy("grp", "dim").agg(F.count(F.lit(1)).alias("size")), "vector-groups")
     if window is None:
         window = window_for(sizes.agg(F.max("size")).first()[0] or 0)
-    sizes = sizes.withColumn("passes", F.lit(passes) if passes else passes_for(F.col("size"), window))
+    means = materialize(group_means(classes, sizes, window, width), "vector-means")
+    mean = F.coalesce("mean", F.array_repeat(F.lit(0.0), F.col("dim")))
+    spread = F.aggregate(mean, F.lit(0.0), lambda a, x: a + x * x)
+    wanted = F.lit(passes) if passes else passes_for(F.col("size"), window, spread, cosine)
+    sizes = materialize(sizes.join(means, ["grp", "dim"], "left").select("grp", "dim", "size", mean.alias("mean"), wanted.alias("passes")),
+                        "vector-passes")
     n_keys = sizes.agg(F.sum(F.col("size") * F.col("passes"))).first()[0] or 0
     stored = materialize(keyed(classes.join(sizes, ["grp", "dim"])), "vector-keys")
     links = materialize(pass_links(stored, window, cosine, width, n_keys).distinct(), "vector-links")
