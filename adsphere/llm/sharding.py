@@ -1,7 +1,7 @@
 """Sharding over fixed virtual slots with a versioned slot-to-shard map (operator 5).
 
-Every record hashes (by ``doc_id`` alone) into one of ``n_slots`` virtual slots; that
-never changes.  What changes is the map from slots to shards: version 1 deals the slots
+Every record hashes (by ``doc_id``, size and the text's crc32, so that rows which share an id, or
+have none, are spread as well) into one of ``n_slots`` virtual slots; that never changes.  What changes is the map from slots to shards: version 1 deals the slots
 out evenly by number, and every rebalancing writes one more version that moves only the
 slots it has to.  ``rebalance`` looks at nothing but the bytes per slot (``n_slots`` rows,
 whatever the corpus holds), keeps a shard's largest slots up to the mean load and gives
@@ -12,8 +12,9 @@ move last are the smallest ones.  The map has ``n_slots`` rows, a fixed number,
 broadcast.  A record's place in its shard is the number of rows in the shard's earlier
 slots plus its rank inside its own slot, so no task ever numbers a whole shard.
 
-Defined cases: a NULL text has no bytes (size 16, crc32 0); NULL ``doc_id`` rows share one
-slot; repeated rows each get a place of their own; an empty table gives an empty result;
+Defined cases: a NULL text has no bytes (size 16, crc32 0); rows with a NULL or repeated
+``doc_id`` are dealt by their texts; rows that are equal in id and text share a slot, each with a
+place of its own; an empty table gives an empty result;
 other columns of the input are ignored.
 """
 
@@ -35,8 +36,8 @@ def records(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
     return docs.select(
         "doc_id",
         (F.octet_length(text_or_empty()) + F.lit(ROW_OVERHEAD)).cast("long").alias("size"),
-        F.crc32(F.encode(text_or_empty(), "UTF-8")).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(n_slots)).cast("int").alias("virtual_slot"))
+        F.crc32(F.encode(text_or_empty(), "UTF-8")).alias("text_crc32")).withColumn(
+            "virtual_slot", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(n_slots)).cast("int"))
 
 
 def slot_loads(recs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:

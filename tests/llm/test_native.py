@@ -90,6 +90,13 @@ def test_shards_are_near_equal(small):
     assert max(load.values()) - min(load.values()) <= max(r.size for r in rows)
 
 
+def test_shards_are_near_equal_where_ids_are_missing_or_repeat(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text number {i} " * 20) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, load = check_shards(docs, 8, 512)
+    assert max(load.values()) < 1.05 * sum(load.values()) / 8
+
+
 def test_shards_edge_cases(edge_docs, no_docs):
     check_shards(edge_docs, 3, 64)
     assert sharding.shard_documents(no_docs).count() == 0
