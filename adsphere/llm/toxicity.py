@@ -68,8 +68,8 @@ STEPS = 60
 RUN_TOKENS = 50_000   # of the sample, in one call of the recursion
 RATE = 0.3
 PENALTY = 1e-4
-SLICE_BYTES = 2 << 20  # of text scored at once: a worker holds some 40 bytes per byte of it
-MAX_WORDS = 400_000  # cached words per worker; beyond it the cache starts anew
+SLICE_BYTES = 1 << 20  # of text scored at once: a worker holds some 40 bytes per byte of it
+MAX_WORDS = 200_000  # cached words per worker; beyond it the cache starts anew
 
 
 def folded(text: str) -> str:
@@ -459,6 +459,8 @@ def score_documents(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame
                     [rest, pa.array(scores, pa.float64()),
                      pa.array([";".join(f"{x}:{y}" for x, y in f) for f in spans], pa.string())],
                     names=["_doc", "score", "toxic_spans"])
+        s.words.clear()  # the worker may go on to other stages
+        pa.default_memory_pool().release_unused()
 
     columns = list(dict.fromkeys([*keep, "text"]))
     kept = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in keep])
