@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query into PLANS.md.
+"""Summarise the physical plan of every query of the catalog into PLANS.md.
 
 Usage: python tools/plan_report.py [sf_dir]
 
@@ -17,7 +17,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from adsphere.catalog import QUERIES  # noqa: E402
 from adsphere.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython",
@@ -52,14 +52,14 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=16)
     ensure_checkpoint_dir(spark)
-    lines = ["# PLANS — physical-plan summary of every registered query", "",
+    lines = ["# PLANS — physical-plan summary of every query of the catalog", "",
              f"Generated by `python tools/plan_report.py {sf_dir}` (initial AQE plans, before runtime "
              "re-optimisation; materialised intermediate tables appear as Parquet scans of the checkpoint "
              "folder). Columns: shuffles (`Exchange`), broadcasts, join operators, scans as "
              "`table(columns read; pushed filters)`.", "",
              "| Query | Shuffles | Broadcasts | Joins | Scans | Forbidden |", "| --- | --- | --- | --- | --- | --- |"]
     bad = 0
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         s = summarise(formatted(fn(spark, sf_dir)))
         scans = "; ".join(f"{t}({c}{'; ' + p if p else ''})" for t, c, p in s["scans"])
         bad += bool(s["forbidden"])
