@@ -18,8 +18,10 @@ _IPV4 = r"^[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}$"
 
 def ip_to_number(ip: Column) -> Column:
     """G1: dotted IPv4 text → bigint; malformed text (or an octet > 255) → NULL."""
-    parts = F.split(ip, r"\.")
-    octets = [F.element_at(parts, i).cast("bigint") for i in range(1, 5)]
+    # cut by dots rather than split into an array, which each of the eight uses would build again
+    upto = [F.substring_index(ip, ".", i) for i in range(1, 4)]
+    parts = [upto[0], *[F.substring_index(p, ".", -1) for p in (upto[1], upto[2], ip)]]
+    octets = [p.try_cast("bigint") for p in parts]
     value = octets[0] * 16777216 + octets[1] * 65536 + octets[2] * 256 + octets[3]
     valid = ip.rlike(_IPV4)
     for o in octets:

@@ -48,11 +48,12 @@ def enrich(log: DataFrame, ranges: DataFrame) -> DataFrame:
     """
     cols = [c for c in log.columns if c not in ("province", "city")]
     located = [] if "longitude" in cols else [c for c in ("longitude", "latitude") if c in ranges.columns]
-    joined = range_join(log, ip_to_number(F.col("ip")), ranges.select("start_ip", "end_ip", "country", *located),
-                        "start_ip", "end_ip", how="left")
+    # the labels are split once per range, not once per log row
     country = F.coalesce(F.col("country"), F.lit(UNKNOWN_COUNTRY))
-    province = F.when(has_ip(), province_of(country)).alias("province")
-    city = F.when(has_ip(), city_of(country)).alias("city")
+    places = ranges.select("start_ip", "end_ip", province_of(country).alias("_province"), city_of(country).alias("_city"), *located)
+    joined = range_join(log, ip_to_number(F.col("ip")), places, "start_ip", "end_ip", how="left")
+    province = F.when(has_ip(), F.coalesce("_province", F.lit(UNKNOWN_COUNTRY))).alias("province")
+    city = F.when(has_ip(), F.coalesce("_city", F.lit(UNKNOWN_COUNTRY))).alias("city")
     out = joined.select(*cols, province, city, *located)
     return out.select(*[c for c in ODS_COLUMNS if c in out.columns],
                       *[c for c in out.columns if c not in ODS_COLUMNS])
