@@ -28,6 +28,11 @@ def _text(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit("null"))
 
 
+def _has_text(col: Column) -> Column:
+    """Whether a text holds more than the white space of ``\\s``."""
+    return F.btrim(col, F.lit(" \t\n\x0b\f\r")) != ""
+
+
 def _tag(prefix: str, col: Column) -> Column:
     return F.concat(F.lit(prefix), _text(col))
 
@@ -39,6 +44,7 @@ def java_split(col: Column, sep: str = ",") -> Column:
     """
     stripped = F.regexp_replace(col, sep + "+$", "")
     return (F.when(col == "", F.array(F.lit("")))
+            .when(~F.endswith(col, F.lit(sep)), F.split(col, sep))  # nothing to strip: no regular expression
             .when(stripped == "", F.array().cast("array<string>"))
             .otherwise(F.split(stripped, sep)))
 
@@ -75,7 +81,7 @@ def keyword_tags(keywords: Column) -> Column:
 
 def area_tags(areas: Column) -> Column:
     """One tag per comma piece when ``areas`` is not blank."""
-    return F.when(F.coalesce(areas, F.lit("")).rlike(r"\S"),
+    return F.when(F.coalesce(_has_text(areas), F.lit(False)),
                   F.transform(java_split(areas), lambda a: F.concat(F.lit(AREA), a))
                   ).otherwise(F.array().cast("array<string>"))
 
@@ -112,8 +118,12 @@ def any_identifier() -> Column:
 
 def user_ids() -> Column:
     """Non-blank identifiers in priority order (values are not trimmed)."""
-    return F.filter(F.array(*[F.col(c) for c in ID_COLUMNS]),
-                    lambda x: x.isNotNull() & x.rlike(r"\S"))
+    return F.filter(F.array(*[F.col(c) for c in ID_COLUMNS]), lambda x: x.isNotNull() & _has_text(x))
+
+
+def any_user_id() -> Column:
+    """Whether :func:`user_ids` holds an identifier."""
+    return F.coalesce(F.exists(F.array(*[F.col(c) for c in ID_COLUMNS]), _has_text), F.lit(False))
 
 
 def main_id(ids: Column) -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.tags import ID_COLUMNS, TAG_FAMILIES, any_identifier, main_id, record_tags, user_ids
+from ..functions.tags import ID_COLUMNS, TAG_FAMILIES, any_identifier, any_user_id, main_id, record_tags, user_ids
 from ..operators.incremental import add_day, persons
 from ..operators.joins import checked_broadcast
 from ..operators.tag_agg import DEFAULT_DECAY, merge_history, merge_in_one_pass, person_profile
@@ -84,8 +84,8 @@ def attach(ods: DataFrame, families=None, library: DataFrame | None = None, apps
 def tagged_records(inputs: DataFrame, families=None) -> DataFrame:
     """(ds, main_id, ids, tags) per identified record; blank-only ids dropped."""
     cols = ["ds"] if "ds" in inputs.columns else []
-    recs = inputs.select(*cols, user_ids().alias("ids"), record_tags(families).alias("tags"))
-    return recs.where(F.size("ids") > 0).withColumn("main_id", main_id(F.col("ids")))
+    recs = inputs.where(any_user_id()).select(*cols, user_ids().alias("ids"), record_tags(families).alias("tags"))
+    return recs.withColumn("main_id", main_id(F.col("ids")))
 
 
 def day(records: DataFrame, ds: str) -> DataFrame:
