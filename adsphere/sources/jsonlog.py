@@ -63,17 +63,21 @@ def parse_json_log(lines: DataFrame) -> DataFrame:
         value.alias("line"), F.try_parse_json(value).alias("_v"),
         F.from_json(value, typed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_r"))
     whole = F.col("_v").isNotNull()
+    # a JSON text is an object if it begins with a brace: no need to describe all of its values
     reason = (F.when(~whole, "malformed")
-              .when(~F.expr("schema_of_variant(_v)").startswith("OBJECT"), "not an object"))
-    df = df.withColumn("reason", reason)
-    # only a record with a misfit or an unknown field pays for the map of all its values
+              .when(~F.startswith(F.ltrim(F.col("line"), F.lit(" \t\n\r")), F.lit("{")), "not an object"))
+    # a field whose value does not fit makes the parsed record a corrupt one, so only a record with a misfit or
+    # an unknown field pays for the map of all its values
+    unknown = F.coalesce(F.exists(F.json_object_keys("line"), lambda k: ~k.isin(*names)), F.lit(True))
+    plain = F.col("reason").isNotNull() | (F.col("_r")[CORRUPT].isNull() & ~unknown)
+    df = df.withColumn("reason", reason).withColumn("_plain", plain)
     empty = F.array_compact(F.array(*[F.when(F.col("_r")[n].isNull(), F.lit(n)) for n in names]))
     known = F.array(*[F.lit(n) for n in names])
-    values = F.when(F.col("reason").isNull(), F.from_json("line", T.MapType(T.StringType(), T.VariantType())))
-    df = df.withColumn("_empty", empty).withColumn("_m", values)
+    df = df.withColumn("_m", F.when(~F.col("_plain"), F.from_json("line", T.MapType(T.StringType(), T.VariantType()))))
+    df = df.withColumn("_empty", F.when(~F.col("_plain"), empty))
     kept = F.map_filter("_m", lambda k, v: (~F.array_contains(known, k) | F.array_contains(F.col("_empty"), k))
                         & ~F.is_variant_null(v))
-    df = df.withColumn("_kept", kept)
+    df = df.withColumn("_kept", F.when(~F.col("_plain"), kept))
     rescued = F.when(F.size("_kept") > 0, F.to_variant_object("_kept"))
     return df.select(*[F.when(F.col("reason").isNull(), F.col("_r")[n]).alias(n) for n in names],
                      rescued.alias("rescued"), "reason", "line")
