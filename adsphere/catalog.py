@@ -318,9 +318,7 @@ def component_members(spark, sf_dir):
 
 @register("tag_record")
 def tag_record(spark, sf_dir):
-    recs = _tg.records_for(spark, sf_dir)
-    return (recs.select("main_id", F.explode("tags").alias("tag")).groupBy("main_id", "tag")
-            .agg(F.count(F.lit(1)).alias("n")))
+    return _ta.tags_per_main_record(_tg.records_for(spark, sf_dir))
 
 
 def _family_vocabulary(families):

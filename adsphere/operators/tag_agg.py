@@ -49,16 +49,90 @@ def tags_per_main_id(records: DataFrame) -> DataFrame:
             .groupBy("person", "tag").agg(F.count(F.lit(1)).cast(WEIGHT).alias("weight")))
 
 
-def tags_per_person(records: DataFrame, labels: DataFrame) -> DataFrame:
+RECORDS_PER_TASK = 200_000
+HOT_RECORDS = 1_000_000  # the records of a key with more are summed in several tasks
+_SEPARATOR = "\x01"
+
+
+def _packed(tags):
+    """``tags`` as one text, which takes half the bytes of the list in a shuffle; NULL where the text would not give them back."""
+    text = F.array_join(tags, _SEPARATOR, _SEPARATOR)  # a NULL tag brings a separator too many
+    separators = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(_SEPARATOR), F.lit("")))
+    return F.when((F.size(tags) > 0) & (separators == F.size(tags) - 1), text)
+
+
+def packed_tags(records: DataFrame, key: str = "main_id") -> DataFrame:
+    """(key, _text, _tags) of records: their tags as one text or, where they hold its separator, as they are."""
+    packed = records.select(key, _packed(F.col("tags")).alias("_text"), "tags")
+    return packed.select(key, "_text", F.when(F.col("_text").isNull(), F.col("tags")).alias("_tags"))
+
+
+def _unpacked():
+    return F.explode(F.coalesce(F.split("_text", _SEPARATOR), F.col("_tags"))).alias("tag")
+
+
+def _tasks(spark, rows: int, per_task: int, multiple: int = 1) -> int:
+    """Tasks for so many rows: those of any shuffle, unless the rows are few or more than they should take."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(min(usual, -(-rows // (per_task // 20))), -(-rows // per_task), 1)
+    return -(-tasks // multiple) * multiple
+
+
+def count_tags(packed: DataFrame, key: str, rows: int, hot: DataFrame | None = None, buckets: int = 1) -> DataFrame:
+    """(key, tag, n) of :func:`packed_tags`: whole records are dealt by their key and become long rows only there.
+
+    Records of a key stand together when their tags are counted, so that neither the long rows nor their partial
+    counts are shuffled.  A task's keys fall into one of ``buckets`` (by ``xxhash64``).  Records of the ``hot`` keys
+    (a column of few keys) are counted where they are and their counts summed: no key has to fit one task.
+    """
+    def counted(df, *keys):
+        return df.select(*keys, _unpacked()).groupBy(*keys, "tag").agg(F.count(F.lit(1)).alias("n")).select(key, "tag", "n")
+    tasks = _tasks(packed.sparkSession, rows, RECORDS_PER_TASK, buckets)
+    rest = packed if hot is None else packed.join(F.broadcast(hot.select(key)), key, "left_anti")
+    dealt = (rest.withColumn("_task", F.pmod(F.xxhash64(key), F.lit(tasks)).cast("int"))
+             .repartitionById(tasks, F.col("_task")).sortWithinPartitions(key))
+    out = counted(dealt, "_task", key)
+    if hot is None:
+        return out
+    return out.unionByName(counted(packed.join(F.broadcast(hot.select(key)), key, "left_semi"), key))
+
+
+def hot_keys_of(counts: DataFrame, key: str, rows: int, limit: int | None = None) -> DataFrame | None:
+    """The keys of more than ``limit`` of ``rows`` records by ``counts`` (key, n), stored; None where there is none."""
+    limit = HOT_RECORDS if limit is None else limit
+    if rows <= limit:
+        return None
+    hot = materialize(counts.groupBy(key).agg(F.sum("n").alias("n")).where(F.col("n") > limit).select(key), "hot-keys")
+    return None if hot.isEmpty() else hot
+
+
+def main_id_counts(records: DataFrame) -> DataFrame:
+    """(main_id, n): how many records have each main id."""
+    return records.groupBy("main_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def tags_per_main_record(records: DataFrame) -> DataFrame:
+    """(main_id, tag, n) of records."""
+    rows = records.count()
+    return count_tags(packed_tags(records), "main_id", rows, hot_keys_of(main_id_counts(records), "main_id", rows))
+
+
+def tags_per_person(records: DataFrame, labels: DataFrame, counts: DataFrame | None = None, buckets: int = 1) -> DataFrame:
     """(person, tag, weight) of records whose main ids have ``labels`` (id, component), or are their own.
 
-    A record meets its label before its tags become rows, so the long rows are shuffled once, after
-    their partial sums.  Pass stored labels: AQE then splits the partition of a hot main id.
+    A record meets its label before its tags become rows, and its tags travel as one text
+    (:func:`count_tags`).  Pass stored labels: AQE then splits the partition of a hot main id.
+    ``counts`` are the stored :func:`main_id_counts`, if there are.
     """
     label = labels.select(F.col("id").alias("main_id"), F.col("component"))
-    return (records.select("main_id", "tags").join(label, "main_id", "left")
-            .select(F.coalesce("component", "main_id").alias("person"), F.explode("tags").alias("tag"))
-            .groupBy("person", "tag").agg(F.count(F.lit(1)).cast(WEIGHT).alias("weight")))
+
+    def labelled(df):
+        person = F.coalesce("component", "main_id").alias("person")
+        return df.join(label, "main_id", "left").select(person, *[c for c in df.columns if c != "main_id"])
+    rows = records.count()
+    hot = hot_keys_of(labelled(main_id_counts(records) if counts is None else counts), "person", rows)
+    tags = count_tags(labelled(packed_tags(records)), "person", rows, hot, buckets)
+    return tags.select("person", "tag", F.col("n").cast(WEIGHT).alias("weight"))
 
 
 def relabel(df: DataFrame, components: DataFrame) -> DataFrame:
